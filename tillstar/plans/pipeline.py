@@ -1,0 +1,194 @@
+"""Raw extracts to star schema, views, answers and quality report, in order.
+
+Each layer is stored before the next one reads it. So text is parsed once, Spark
+plans joins with real table sizes, and a lost executor costs one step, not the chain.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillstar.functions import clock
+from tillstar.operators import clean, kpi, model, quality
+from tillstar.sinks.snapshots import export_all
+from tillstar.sinks.warehouse import Warehouse
+from tillstar.sources import extracts
+from tillstar.sources.regions import dim_region
+
+Tables = dict[str, DataFrame]
+
+RAW = ("raw.customers_raw", "raw.products_raw", "raw.orders_raw")
+CORE = ("core.fact_sales", "core.dim_product", "core.dim_customer", "core.dim_calendar")
+
+
+def stage(raw: Tables, wh: Warehouse, tz: str = clock.LONDON) -> Tables:
+    """Clean and store the three staging tables and the three helper tables."""
+    t = {
+        "stg.stg_customers": wh.write(
+            clean.clean_customers(raw["raw.customers_raw"]), "stg.stg_customers"
+        ),
+        "stg.stg_products": wh.write(
+            clean.clean_products(raw["raw.products_raw"]), "stg.stg_products"
+        ),
+        "stg.stg_orders": wh.write(
+            clean.clean_orders(raw["raw.orders_raw"], tz), "stg.stg_orders"
+        ),
+    }
+    in_2024 = clean.orders_in_2024(t["stg.stg_orders"])
+    helpers = {
+        "stg.stg_dq_invalid_price": clean.dq_invalid_price(t["stg.stg_products"]),
+        "stg.stg_dq_orphans_products": clean.dq_orphans_products(in_2024, t["stg.stg_products"]),
+        "stg.stg_dq_orphans_customers": clean.dq_orphans_customers(in_2024, t["stg.stg_customers"]),
+    }
+    for name, df in helpers.items():
+        t[name] = wh.write(df, name)
+    return t
+
+
+def dimensions(stg: Tables, wh: Warehouse) -> Tables:
+    """Build and store the four dimensions."""
+    region = wh.write(dim_region(wh.spark), "core.dim_region")
+    customer = model.dim_customer(stg["stg.stg_customers"], region, stg["stg.stg_orders"])
+    return {
+        "core.dim_region": region,
+        "core.dim_calendar": wh.write(
+            model.dim_calendar(stg["stg.stg_orders"]), "core.dim_calendar"
+        ),
+        "core.dim_product": wh.write(
+            model.dim_product(stg["stg.stg_products"]), "core.dim_product"
+        ),
+        "core.dim_customer": wh.write(customer, "core.dim_customer"),
+    }
+
+
+def fact(tables: Tables, tz: str = clock.LONDON) -> DataFrame:
+    return model.fact_sales(
+        tables["stg.stg_orders"],
+        tables["core.dim_product"],
+        tables["core.dim_customer"],
+        tables["core.dim_calendar"],
+        tz,
+    )
+
+
+def star(raw: Tables, wh: Warehouse, tz: str = clock.LONDON) -> Tables:
+    """Raw tables to all stored tables up to the fact, without key checks."""
+    tables = {**raw, **stage(raw, wh, tz)}
+    tables |= dimensions(tables, wh)
+    tables["core.fact_sales"] = wh.write(fact(tables, tz), "core.fact_sales")
+    return tables
+
+
+def kpi_views(tables: Tables) -> Tables:
+    """The KPI views and the quality summary as lazy frames."""
+    sales = tables["core.fact_sales"]
+    customers, products = tables["core.dim_customer"], tables["core.dim_product"]
+    return {
+        "v_kpi_headline": kpi.kpi_headline(sales),
+        "v_top_customers_ltv": kpi.top_customers_ltv(sales, customers),
+        "v_sales_by_category": kpi.sales_by_category(sales, products),
+        "v_sales_by_region": kpi.sales_by_region(sales),
+        "v_seasonality_monthly": kpi.seasonality_monthly(sales, tables["core.dim_calendar"]),
+        "v_payment_mix": kpi.payment_mix(sales),
+        "v_customer_first_purchase": kpi.customer_first_purchase(sales),
+        "v_order_new_repeat": kpi.order_new_repeat(sales),
+        "v_customer_repeat_windows": kpi.customer_repeat_windows(sales),
+    }
+
+
+def register_views(tables: Tables) -> list[str]:
+    """Make the views, and the 2024 orders and quality summary, known to spark.sql."""
+    views = kpi_views(tables)
+    if "stg.stg_orders" in tables:
+        views["v_stg_orders_2024"] = clean.orders_in_2024(tables["stg.stg_orders"])
+    if set(quality.COUNTED_TABLES) <= set(tables):
+        views["v_dq_summary"] = quality.dq_summary(tables)
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
+def snapshots(tables: Tables, top_n: int) -> Tables:
+    """The seven business answers in their reporting order."""
+    sales = tables["core.fact_sales"]
+    customers, products = tables["core.dim_customer"], tables["core.dim_product"]
+    return {
+        "kpi_headline": kpi.kpi_headline(sales),
+        "top_customers_ltv": kpi.top_customers(sales, customers, top_n),
+        "sales_by_category": kpi.sales_by_category(sales, products).orderBy(F.desc("revenue")),
+        "sales_by_region": kpi.sales_by_region(sales).orderBy(F.desc("revenue")),
+        "seasonality_monthly": kpi.seasonality_monthly(sales, tables["core.dim_calendar"]).orderBy(
+            "year", "month"
+        ),
+        "payment_mix": kpi.payment_mix(sales).orderBy(F.desc("revenue")),
+        "new_vs_repeat": kpi.new_vs_repeat(sales).orderBy("customer_order_type"),
+    }
+
+
+def analysis(tables: Tables) -> Tables:
+    return snapshots(tables, top_n=10)
+
+
+def export_snapshots(spark: SparkSession, tables: Tables, out: str) -> list[str]:
+    return export_all(spark, snapshots(tables, top_n=50), out)
+
+
+@dataclass
+class Build:
+    """What a build leaves: stored tables, lazy answers and the quality report."""
+
+    tables: Tables
+    analysis: Tables
+    quality: DataFrame
+
+
+def land(spark: SparkSession, src: str, wh: Warehouse, **read_options) -> Tables:
+    """Store the extracts under `src` as text tables."""
+    src = src.rstrip("/")
+    frames = {
+        "raw.customers_raw": extracts.read_customers_raw(
+            spark, f"{src}/{extracts.CUSTOMERS_FILE}", **read_options
+        ),
+        "raw.products_raw": extracts.read_products_raw(
+            spark, f"{src}/{extracts.PRODUCTS_FILE}", **read_options
+        ),
+        "raw.orders_raw": extracts.read_orders_raw(
+            spark, f"{src}/{extracts.ORDERS_FILE}", **read_options
+        ),
+    }
+    return {name: wh.write(df, name) for name, df in frames.items()}
+
+
+def build(
+    spark: SparkSession,
+    src: str,
+    root: str,
+    tz: str = clock.LONDON,
+    on_duplicate: str = "raise",
+    **read_options,
+) -> Build:
+    """Run the whole chain from the extracts in `src` to tables under `root`.
+
+    The first failing step stops it. A table whose key is NULL or repeated is a
+    failure too, unless on_duplicate="report" leaves that to the quality report.
+    """
+    wh = Warehouse(spark, root, catalog=True)
+    tables = land(spark, src, wh, **read_options)
+    tables |= stage(tables, wh, tz)
+    tables |= dimensions(tables, wh)
+    keys = {
+        "core.dim_region": "state_name",
+        "core.dim_calendar": "date",
+        "core.dim_product": "product_id",
+        "core.dim_customer": "customer_id",
+    }
+    for name, key in keys.items():
+        model.assert_key(tables[name], key, on_duplicate=on_duplicate)
+    tables["core.fact_sales"] = wh.write(fact(tables, tz), "core.fact_sales")
+    model.assert_key(tables["core.fact_sales"], "order_id", on_duplicate=on_duplicate)
+    wh.require(*CORE)
+    register_views(tables)
+    return Build(tables, analysis(tables), quality.dq_summary(tables))
