@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONDON = "Europe/London"
@@ -10,17 +10,16 @@ LONDON = "Europe/London"
 EVENT_FORMAT = "d/M/yyyy H:mm"
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+_MICROSECOND = "interval '0.000001' second"
 
 
 def utc_clock(ts: Column) -> Column:
     """The UTC reading of an instant, as a timestamp without zone."""
-    since_epoch = F.make_dt_interval(secs=F.unix_micros(ts) / F.lit(1_000_000))
-    return F.expr(_EPOCH) + since_epoch
+    return F.expr(_EPOCH) + F.expr(_MICROSECOND) * F.unix_micros(ts)
 
 
-def wall_clock(ts: Column, tz: str = LONDON) -> Column:
-    """The reading of a clock in tz at an instant, as a timestamp without zone."""
-    return utc_clock(F.from_utc_timestamp(ts, tz))
+def utc_date(ts: Column) -> Column:
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
 
 
 def read_wall(text: Column) -> Column:
@@ -28,21 +27,30 @@ def read_wall(text: Column) -> Column:
     return F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(EVENT_FORMAT + " X"))
 
 
-def wall_to_instant(wall: Column, tz: str = LONDON) -> Column:
-    """The instant at which a clock in tz shows `wall` (as given by read_wall).
+def with_instant(df: DataFrame, wall: str, name: str, tz: str = LONDON) -> DataFrame:
+    """Add the instant at which a clock in tz shows `wall` (as given by read_wall).
 
-    An hour that occurs twice in autumn means its second, standard-time pass.
+    An hour that occurs twice in autumn means its second, standard-time pass. The
+    first pass is a column of its own so that each row is converted only twice.
     """
-    first = F.to_utc_timestamp(wall, tz)
+    first, wall_time = F.col("_first"), F.col(wall)
     second = first + F.expr("interval 1 hour")
-    return F.when(F.from_utc_timestamp(second, tz) == wall, second).otherwise(first)
+    is_repeated = F.from_utc_timestamp(second, tz) == wall_time
+    return (
+        df.withColumn("_first", F.to_utc_timestamp(wall_time, tz))
+        .withColumn(name, F.when(is_repeated, second).otherwise(first))
+        .drop("_first")
+    )
 
 
-def stamp_text(ts: Column, tz: str = LONDON) -> Column:
-    """An instant as text, e.g. 2023-10-10 08:00:00+01, in the clock of tz."""
-    offset = F.unix_seconds(F.from_utc_timestamp(ts, tz)) - F.unix_seconds(ts)
+def stamp_text(ts: Column, local: Column) -> Column:
+    """An instant as local text, e.g. 2023-10-10 08:00:00+01.
+
+    `local` is from_utc_timestamp(ts, tz); best a column, as it is used repeatedly.
+    """
+    offset = F.unix_seconds(local) - F.unix_seconds(ts)
     minutes = (F.abs(offset) / 60).cast("int")
     hh = F.lpad((minutes / 60).cast("int").cast("string"), 2, "0")
     mm = F.when(minutes % 60 != 0, F.format_string(":%02d", minutes % 60)).otherwise("")
     sign = F.when(offset < 0, "-").otherwise("+")
-    return F.concat(wall_clock(ts, tz).cast("string"), sign, hh, mm)
+    return F.concat(utc_clock(local).cast("string"), sign, hh, mm)

@@ -62,10 +62,8 @@ def clean_orders(raw: DataFrame, tz: str = clock.LONDON) -> DataFrame:
         domains.interaction(text.lower_token(F.col("interaction_type"))).alias("interaction_type"),
         clock.read_wall(text.blank_to_null(F.col("event_ts"))).alias("wall"),
     ).dropna()
-    dated = typed.withColumn("event_ts", clock.wall_to_instant(F.col("wall"), tz)).withColumn(
-        "event_date", clock.wall_clock(F.col("event_ts"), tz).cast("date")
-    )
-    return dated.select(
+    dated = typed.withColumn("event_date", clock.utc_date(F.col("wall")))
+    return clock.with_instant(dated, "wall", "event_ts", tz).select(
         "user_id",
         "product_id",
         "interaction_type",

@@ -96,6 +96,7 @@ def fact_sales(
         F.col("user_id").alias("customer_id"),
         "product_id",
         "event_ts",
+        F.from_utc_timestamp("event_ts", tz).alias("local_ts"),
         F.col("event_date").alias("order_date"),
     )
     prices = dim_product.where(F.col("selling_price") > 0).select(
@@ -104,9 +105,8 @@ def fact_sales(
     buyers = dim_customer.select("customer_id", "region", "payment_method")
     days = dim_calendar.select(F.col("date").alias("order_date"))
 
-    key = F.concat_ws(
-        "::", F.col("customer_id").cast("string"), "product_id", clock.stamp_text(F.col("event_ts"), tz)
-    )
+    stamp = clock.stamp_text(F.col("event_ts"), F.col("local_ts"))
+    key = F.concat_ws("::", F.col("customer_id").cast("string"), "product_id", stamp)
     value = (F.col("quantity") * F.col("unit_price")).cast(money.LINE_VALUE)
     nothing = F.lit(0).cast(money.PRICE)
     return (

@@ -25,43 +25,41 @@ CORE = ("core.fact_sales", "core.dim_product", "core.dim_customer", "core.dim_ca
 
 
 def stage(raw: Tables, wh: Warehouse, tz: str = clock.LONDON) -> Tables:
-    """Clean and store the three staging tables and the three helper tables."""
-    t = {
-        "stg.stg_customers": wh.write(
-            clean.clean_customers(raw["raw.customers_raw"]), "stg.stg_customers"
-        ),
-        "stg.stg_products": wh.write(
-            clean.clean_products(raw["raw.products_raw"]), "stg.stg_products"
-        ),
-        "stg.stg_orders": wh.write(
-            clean.clean_orders(raw["raw.orders_raw"], tz), "stg.stg_orders"
-        ),
-    }
-    in_2024 = clean.orders_in_2024(t["stg.stg_orders"])
-    helpers = {
-        "stg.stg_dq_invalid_price": clean.dq_invalid_price(t["stg.stg_products"]),
-        "stg.stg_dq_orphans_products": clean.dq_orphans_products(in_2024, t["stg.stg_products"]),
-        "stg.stg_dq_orphans_customers": clean.dq_orphans_customers(in_2024, t["stg.stg_customers"]),
-    }
-    for name, df in helpers.items():
-        t[name] = wh.write(df, name)
-    return t
+    """Clean and store the three staging tables."""
+    return wh.write_all(
+        {
+            "stg.stg_customers": clean.clean_customers(raw["raw.customers_raw"]),
+            "stg.stg_products": clean.clean_products(raw["raw.products_raw"]),
+            "stg.stg_orders": clean.clean_orders(raw["raw.orders_raw"], tz),
+        }
+    )
+
+
+def helpers(stg: Tables, wh: Warehouse) -> Tables:
+    """Store the rows that the quality helper tables collect."""
+    in_2024 = clean.orders_in_2024(stg["stg.stg_orders"])
+    products, customers = stg["stg.stg_products"], stg["stg.stg_customers"]
+    return wh.write_all(
+        {
+            "stg.stg_dq_invalid_price": clean.dq_invalid_price(products),
+            "stg.stg_dq_orphans_products": clean.dq_orphans_products(in_2024, products),
+            "stg.stg_dq_orphans_customers": clean.dq_orphans_customers(in_2024, customers),
+        }
+    )
 
 
 def dimensions(stg: Tables, wh: Warehouse) -> Tables:
     """Build and store the four dimensions."""
-    region = wh.write(dim_region(wh.spark), "core.dim_region")
-    customer = model.dim_customer(stg["stg.stg_customers"], region, stg["stg.stg_orders"])
-    return {
-        "core.dim_region": region,
-        "core.dim_calendar": wh.write(
-            model.dim_calendar(stg["stg.stg_orders"]), "core.dim_calendar"
-        ),
-        "core.dim_product": wh.write(
-            model.dim_product(stg["stg.stg_products"]), "core.dim_product"
-        ),
-        "core.dim_customer": wh.write(customer, "core.dim_customer"),
-    }
+    customers, orders = stg["stg.stg_customers"], stg["stg.stg_orders"]
+    region = dim_region(wh.spark)
+    return wh.write_all(
+        {
+            "core.dim_region": region,
+            "core.dim_calendar": model.dim_calendar(orders),
+            "core.dim_product": model.dim_product(stg["stg.stg_products"]),
+            "core.dim_customer": model.dim_customer(customers, region, orders),
+        }
+    )
 
 
 def fact(tables: Tables, tz: str = clock.LONDON) -> DataFrame:
@@ -75,7 +73,7 @@ def fact(tables: Tables, tz: str = clock.LONDON) -> DataFrame:
 
 
 def star(raw: Tables, wh: Warehouse, tz: str = clock.LONDON) -> Tables:
-    """Raw tables to all stored tables up to the fact, without key checks."""
+    """Raw tables to stored staging, dimensions and fact, without key checks."""
     tables = {**raw, **stage(raw, wh, tz)}
     tables |= dimensions(tables, wh)
     tables["core.fact_sales"] = wh.write(fact(tables, tz), "core.fact_sales")
@@ -159,7 +157,7 @@ def land(spark: SparkSession, src: str, wh: Warehouse, **read_options) -> Tables
             spark, f"{src}/{extracts.ORDERS_FILE}", **read_options
         ),
     }
-    return {name: wh.write(df, name) for name, df in frames.items()}
+    return wh.write_all(frames)
 
 
 def build(
@@ -178,7 +176,7 @@ def build(
     wh = Warehouse(spark, root, catalog=True)
     tables = land(spark, src, wh, **read_options)
     tables |= stage(tables, wh, tz)
-    tables |= dimensions(tables, wh)
+    tables |= helpers(tables, wh) | dimensions(tables, wh)
     keys = {
         "core.dim_region": "state_name",
         "core.dim_calendar": "date",

@@ -30,71 +30,59 @@ def _utc(df: DataFrame) -> DataFrame:
     return df.withColumn("event_ts", clock.utc_clock(F.col("event_ts")))
 
 
-def _customers(raw: Tables) -> DataFrame:
-    return clean.clean_customers(raw["raw.customers_raw"])
+def _of(query: Query, operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(query(spark, sf_dir))
 
 
-def _products(raw: Tables) -> DataFrame:
-    return clean.clean_products(raw["raw.products_raw"])
+def _cleaned(table: str, cleaner: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: cleaner(driver_tables.raw_table(spark, sf_dir, table))
 
 
-def _orders(raw: Tables) -> DataFrame:
-    return clean.clean_orders(raw["raw.orders_raw"])
+_customers = _cleaned("raw.customers_raw", clean.clean_customers)
+_products = _cleaned("raw.products_raw", clean.clean_products)
+_orders = _cleaned("raw.orders_raw", clean.clean_orders)
+_orders_2024 = _of(_orders, clean.orders_in_2024)
 
 
-def _on_raw(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(driver_tables.raw_tables(spark, sf_dir))
+def _orphans_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, products = _orders_2024(spark, sf_dir), _products(spark, sf_dir)
+    return _utc(clean.dq_orphans_products(orders, products))
 
 
-def _on_sales(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(driver_tables.sales_tables(spark, sf_dir))
+def _orphans_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, customers = _orders_2024(spark, sf_dir), _customers(spark, sf_dir)
+    return _utc(clean.dq_orphans_customers(orders, customers))
 
 
-def _on_star(build: Callable[[Tables], DataFrame]) -> Query:
-    def query(spark, sf_dir):
-        wh = scratch(spark)
-        raw = {n: wh.write(df, n) for n, df in driver_tables.raw_tables(spark, sf_dir).items()}
-        return build(pipeline.star(raw, wh))
-
-    return query
-
-
-def _on_dimensions(build: Callable[[Tables], DataFrame]) -> Query:
-    def query(spark, sf_dir):
-        wh = scratch(spark)
-        stg = pipeline.stage(driver_tables.raw_tables(spark, sf_dir), wh)
-        return build(stg | pipeline.dimensions(stg, wh))
-
-    return query
-
-
-def _sales(view: Callable[..., DataFrame], *dims: str) -> Query:
-    return _on_sales(lambda t: view(t["core.fact_sales"], *[t[f"core.{d}"] for d in dims]))
+def _customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matched = model.customer_regions(_customers(spark, sf_dir), dim_region(spark))
+    return matched.select("customer_id", "location", "region")
 
 
-def _top(n: int) -> Callable[[Tables], DataFrame]:
-    return lambda t: kpi.top_customers(t["core.fact_sales"], t["core.dim_customer"], n)
+def _dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers, orders = _customers(spark, sf_dir), _orders(spark, sf_dir)
+    return model.dim_customer(customers, dim_region(spark), orders)
 
 
-def _customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _customers(driver_tables.raw_tables(spark, sf_dir))
-    matched = model.customer_regions(customers, dim_region(spark))
-    return matched.select("customer_id", "location", "region")
+def _raw(spark: SparkSession, sf_dir: str) -> Tables:
+    return {name: driver_tables.raw_table(spark, sf_dir, name) for name in pipeline.RAW}
 
 
-def _dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = driver_tables.raw_tables(spark, sf_dir)
-    return model.dim_customer(_customers(raw), dim_region(spark), _orders(raw))
+def _fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = scratch(spark)
+    stg = pipeline.stage(_raw(spark, sf_dir), wh)
+    return pipeline.fact(stg | pipeline.dimensions(stg, wh)).drop("created_at")
 
 
-def _orphans_products(raw: Tables) -> DataFrame:
-    in_2024 = clean.orders_in_2024(_orders(raw))
-    return _utc(clean.dq_orphans_products(in_2024, _products(raw)))
+def _on_star(build: Callable[[Tables], DataFrame], helpers: bool = False) -> Query:
+    """A query over stored staging, dimensions and fact, on demand with helper tables."""
 
+    def query(spark, sf_dir):
+        wh = scratch(spark)
+        tables = pipeline.star(_raw(spark, sf_dir), wh)
+        return build(tables | pipeline.helpers(tables, wh) if helpers else tables)
 
-def _orphans_customers(raw: Tables) -> DataFrame:
-    in_2024 = clean.orders_in_2024(_orders(raw))
-    return _utc(clean.dq_orphans_customers(in_2024, _customers(raw)))
+    return query
 
 
 # Labels of the row counts that follow each step.
@@ -121,18 +109,20 @@ def _stage_counts(tables: Tables) -> DataFrame:
 
 
 def _offender_samples(tables: Tables) -> DataFrame:
-    order_text = F.concat_ws("/", "user_id", "product_id", clock.stamp_text(F.col("event_ts")))
-    orphan_order = ("user_id", "product_id", "event_ts")
+    local = F.from_utc_timestamp("event_ts", clock.LONDON)
+    stamp = clock.stamp_text(F.col("event_ts"), local)
+    order_text = F.concat_ws("/", "user_id", "product_id", stamp)
+    order_keys = ("user_id", "product_id", "event_ts")
     samples = {
         "dq_invalid_price": (F.col("product_id"), ("product_id",)),
-        "dq_orphans_products": (order_text, orphan_order),
-        "dq_orphans_customers": (order_text, orphan_order),
+        "dq_orphans_products": (order_text, order_keys),
+        "dq_orphans_customers": (order_text, order_keys),
     }
     parts = [
-        quality.offender_sample(tables[f"stg.stg_{name}"], *order).select(
+        quality.offender_sample(tables[f"stg.stg_{name}"], *keys).select(
             F.lit(name).alias("helper"), text.alias("offender")
         )
-        for name, (text, order) in samples.items()
+        for name, (text, keys) in samples.items()
     ]
     return reduce(DataFrame.unionAll, parts)
 
@@ -144,32 +134,49 @@ def _through_csv(
 
     def query(spark, sf_dir):
         path = f"{scratch(spark).root}/{file}"
-        export_csv(driver_tables.raw_tables(spark, sf_dir)[table], path)
+        export_csv(driver_tables.raw_extract(spark, sf_dir, table), path)
         return cleaner(reader(spark, path))
 
     return query
 
 
+def _sales(view: Callable[..., DataFrame], *dims: str) -> Query:
+    """A query over the large fact and the dimensions it names."""
+    names = ["core.fact_sales"] + [f"core.{d}" for d in dims]
+    return lambda spark, sf_dir: view(
+        *[driver_tables.sales_table(spark, sf_dir, name) for name in names]
+    )
+
+
+def _top(n: int) -> Query:
+    return _sales(lambda fact, customers: kpi.top_customers(fact, customers, n), "dim_customer")
+
+
 def _export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the category report as CSV and read that back."""
-    report = pipeline.snapshots(driver_tables.sales_tables(spark, sf_dir), top_n=50)
+    report = _sales(kpi.sales_by_category, "dim_product")(spark, sf_dir)
     path = f"{scratch(spark).root}/sales_by_category.csv"
-    export_csv(report["sales_by_category"], path)
-    schema = report["sales_by_category"].schema
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    export_csv(report.orderBy(F.desc("revenue")), path)
+    reader = spark.read.schema(report.schema).option("header", True).option("escape", '"')
+    return reader.csv(path)
 
 
 def queries() -> dict[str, Query]:
     headline = _sales(kpi.kpi_headline)
+    by_category = _sales(kpi.sales_by_category, "dim_product")
+    by_region = _sales(kpi.sales_by_region)
+    by_month = _sales(kpi.seasonality_monthly, "dim_calendar")
+    by_payment = _sales(kpi.payment_mix)
+    new_vs_repeat = _sales(kpi.new_vs_repeat)
     return {
         # cleaning
-        "clean_customers": _on_raw(_customers),
-        "clean_products": _on_raw(_products),
-        "clean_orders": _on_raw(lambda raw: _utc(_orders(raw))),
-        "orders_in_2024": _on_raw(lambda raw: _utc(clean.orders_in_2024(_orders(raw)))),
-        "dq_invalid_price": _on_raw(lambda raw: clean.dq_invalid_price(_products(raw))),
-        "dq_orphans_products": _on_raw(_orphans_products),
-        "dq_orphans_customers": _on_raw(_orphans_customers),
+        "clean_customers": _customers,
+        "clean_products": _products,
+        "clean_orders": _of(_orders, _utc),
+        "orders_in_2024": _of(_orders_2024, _utc),
+        "dq_invalid_price": _of(_products, clean.dq_invalid_price),
+        "dq_orphans_products": _orphans_products,
+        "dq_orphans_customers": _orphans_customers,
         # CSV extracts
         "scan_customers_csv": _through_csv(
             "raw.customers_raw",
@@ -183,53 +190,52 @@ def queries() -> dict[str, Query]:
             extracts.read_products_raw,
             clean.clean_products,
         ),
-        "scan_orders_csv": _through_csv(
-            "raw.orders_raw",
-            extracts.ORDERS_FILE,
-            extracts.read_orders_raw,
-            lambda raw: _utc(clean.clean_orders(raw)),
+        "scan_orders_csv": _of(
+            _through_csv(
+                "raw.orders_raw",
+                extracts.ORDERS_FILE,
+                extracts.read_orders_raw,
+                clean.clean_orders,
+            ),
+            _utc,
         ),
         # model
         "customer_regions": _customer_regions,
-        "dim_calendar": _on_raw(lambda raw: model.dim_calendar(_orders(raw))),
-        "dim_product": _on_raw(lambda raw: model.dim_product(_products(raw))),
+        "dim_calendar": _of(_orders, model.dim_calendar),
+        "dim_product": _of(_products, model.dim_product),
         "dim_customer": _dim_customer,
-        "fact_sales": _on_dimensions(lambda t: pipeline.fact(t).drop("created_at")),
+        "fact_sales": _fact_sales,
         "duplicate_keys": _sales(lambda fact: model.duplicate_keys(fact, "order_id")),
         # KPI views and answers
         "kpi_headline": headline,
         "top_customers_ltv": _sales(kpi.top_customers_ltv, "dim_customer"),
-        "sales_by_category": _sales(kpi.sales_by_category, "dim_product"),
-        "sales_by_region": _sales(kpi.sales_by_region),
-        "seasonality_monthly": _sales(kpi.seasonality_monthly, "dim_calendar"),
-        "payment_mix": _sales(kpi.payment_mix),
+        "sales_by_category": by_category,
+        "sales_by_region": by_region,
+        "seasonality_monthly": by_month,
+        "payment_mix": by_payment,
         "customer_first_purchase": _sales(kpi.customer_first_purchase),
         "order_new_repeat": _sales(kpi.order_new_repeat),
         "customer_repeat_windows": _sales(kpi.customer_repeat_windows),
-        "top_customers_10": _on_sales(_top(10)),
-        "top_customers_50": _on_sales(_top(50)),
-        "new_vs_repeat": _sales(kpi.new_vs_repeat),
+        "top_customers_10": _top(10),
+        "top_customers_50": _top(50),
+        "new_vs_repeat": new_vs_repeat,
         "fact_profile": _sales(quality.fact_profile),
         # quality
-        "stage_counts": _on_star(_stage_counts),
+        "stage_counts": _on_star(_stage_counts, helpers=True),
         "dq_row_counts": _on_star(quality.row_counts),
         "dq_uniqueness": _on_star(quality.uniqueness),
         "dq_referential": _on_star(quality.referential),
         "dq_domain": _on_star(quality.domain),
         "dq_temporal": _on_star(quality.temporal),
         "dq_summary": _on_star(quality.dq_summary),
-        "dq_offender_samples": _on_star(_offender_samples),
+        "dq_offender_samples": _on_star(_offender_samples, helpers=True),
         # export and report feeds
         "export_roundtrip": _export_roundtrip,
-        "feed_headline": lambda s, d: feeds.feed_headline(headline(s, d)),
-        "feed_top_customers": _on_sales(lambda t: feeds.feed_top_customers(_top(50)(t))),
-        "feed_sales_by_category": _sales(
-            lambda f, p: feeds.feed_sorted(kpi.sales_by_category(f, p)), "dim_product"
-        ),
-        "feed_sales_by_region": _sales(lambda f: feeds.feed_sorted(kpi.sales_by_region(f))),
-        "feed_payment_mix": _sales(lambda f: feeds.feed_sorted(kpi.payment_mix(f))),
-        "feed_monthly": _sales(
-            lambda f, c: feeds.feed_monthly(kpi.seasonality_monthly(f, c)), "dim_calendar"
-        ),
-        "feed_new_vs_repeat": _sales(lambda f: feeds.feed_new_vs_repeat(kpi.new_vs_repeat(f))),
+        "feed_headline": _of(headline, feeds.feed_headline),
+        "feed_top_customers": _of(_top(50), feeds.feed_top_customers),
+        "feed_sales_by_category": _of(by_category, feeds.feed_sorted),
+        "feed_sales_by_region": _of(by_region, feeds.feed_sorted),
+        "feed_payment_mix": _of(by_payment, feeds.feed_sorted),
+        "feed_monthly": _of(by_month, feeds.feed_monthly),
+        "feed_new_vs_repeat": _of(new_vs_repeat, feeds.feed_new_vs_repeat),
     }

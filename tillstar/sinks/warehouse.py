@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 LAYERS = ("raw", "stg", "core")
@@ -45,6 +47,13 @@ class Warehouse:
             writer.save(self.path(table))
         return self.read(table)
 
+    def write_all(self, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Store frames that do not depend on each other as concurrent jobs."""
+        write = inheritable_thread_target(self.spark)(self.write)
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            jobs = {name: pool.submit(write, df, name) for name, df in frames.items()}
+        return {name: job.result() for name, job in jobs.items()}
+
     def read(self, table: str) -> DataFrame:
         if self.catalog:
             return self.spark.table(table)

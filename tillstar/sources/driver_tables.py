@@ -6,10 +6,7 @@ out messy on purpose: padded ids, mixed case, junk prices, impossible dates.
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar import schemas
@@ -87,49 +84,58 @@ FROM {part}
 
 TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; its footer is looked up once per application."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
+
 
 def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    used = {
-        t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in sql
-    }
+    used = {t: _table(spark, f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in sql}
     return spark.sql(sql, **used)
 
 
-def raw_layout(df: DataFrame, schema: T.StructType, names: dict[str, str]) -> DataFrame:
-    """df in the column order and with the headers of a raw extract."""
-    return df.select(
+_RAW = {
+    "raw.customers_raw": CUSTOMERS_RAW,
+    "raw.products_raw": PRODUCTS_RAW,
+    "raw.orders_raw": ORDERS_RAW,
+}
+_EXTRACTS = {
+    "raw.customers_raw": schemas.CUSTOMER_COLUMNS,
+    "raw.products_raw": schemas.PRODUCT_COLUMNS,
+    "raw.orders_raw": schemas.ORDER_COLUMNS,
+}
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Messy customers, products or events under their short names."""
+    return run(spark, sf_dir, _RAW[name])
+
+
+def raw_extract(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A raw table with all columns of its extract, in order and with its headers."""
+    df = raw_table(spark, sf_dir, name)
+    return df.selectExpr(
         *[
-            (F.col(names[f.name]) if names[f.name] in df.columns else F.lit(None).cast("string")).alias(
-                f.name
-            )
-            for f in schema.fields
+            f"{short if short in df.columns else 'CAST(NULL AS STRING)'} AS `{header}`"
+            for header, short in _EXTRACTS[name].items()
         ]
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Messy customers, products and events as the three raw tables."""
-    rows = partial(run, spark, sf_dir)
-    return {
-        "raw.customers_raw": raw_layout(
-            rows(CUSTOMERS_RAW), schemas.CUSTOMERS_RAW, schemas.CUSTOMER_COLUMNS
-        ),
-        "raw.products_raw": raw_layout(
-            rows(PRODUCTS_RAW), schemas.PRODUCTS_RAW, schemas.PRODUCT_COLUMNS
-        ),
-        "raw.orders_raw": raw_layout(
-            rows(ORDERS_RAW), schemas.ORDERS_RAW, schemas.ORDER_COLUMNS
-        ),
-    }
-
-
-def sales_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Line items as a clean, large fact with its dimensions."""
-    rows = partial(run, spark, sf_dir)
-    days = rows("SELECT CAST(o_orderdate AS DATE) AS event_date FROM {orders}")
-    return {
-        "core.fact_sales": rows(FACT),
-        "core.dim_customer": rows(FACT_CUSTOMERS),
-        "core.dim_product": rows(FACT_PRODUCTS),
-        "core.dim_calendar": model.dim_calendar(days),
+def sales_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Line items as a clean, large fact, or one of its dimensions."""
+    if name == "core.dim_calendar":
+        days = "SELECT CAST(o_orderdate AS DATE) AS event_date FROM {orders}"
+        return model.dim_calendar(run(spark, sf_dir, days))
+    sql = {
+        "core.fact_sales": FACT,
+        "core.dim_customer": FACT_CUSTOMERS,
+        "core.dim_product": FACT_PRODUCTS,
     }
+    return run(spark, sf_dir, sql[name])
