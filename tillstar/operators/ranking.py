@@ -26,12 +26,14 @@ def dense_rank_positions(values: DataFrame, value: str, rank: str) -> DataFrame:
     The value range bounds what any one task sorts: 10^6 values of a band, 10^4
     bands of a zone, one row per 10^8 of value range for the zones.
     """
-    distinct = values.select(value).distinct()
-    banded = distinct.withColumn("_band", F.floor(F.col(value) * F.lit(_BAND)).cast("long"))
+    # Never-NULL bands and zones: no join below pushes a filter of its own under the
+    # shuffles, so all three uses of the distinct values share one shuffle.
+    distinct = values.where(F.col(value).isNotNull()).select(value).distinct()
+    band = F.coalesce(F.floor(F.col(value) * F.lit(_BAND)).cast("long"), F.lit(0))
+    banded = distinct.withColumn("_band", band)
+    zone = F.col("_band") - F.coalesce(F.pmod(F.col("_band"), F.lit(_ZONE)), F.lit(0))
     bands = (
-        banded.groupBy("_band")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_zone", F.col("_band") - F.pmod(F.col("_band"), F.lit(_ZONE)))
+        banded.groupBy("_band").agg(F.count(F.lit(1)).alias("_n")).withColumn("_zone", zone)
     )
     zones = bands.groupBy("_zone").agg(F.sum("_n").alias("_n"))
     over_zones = zones.select(
@@ -54,6 +56,9 @@ def dense_rank_positions(values: DataFrame, value: str, rank: str) -> DataFrame:
 def with_dense_rank(
     rows: DataFrame, values: DataFrame, value: str, rank: str, spread_by: list[str]
 ) -> DataFrame:
-    """rows with the dense rank of their value among `values`; many rows may tie."""
+    """rows with the dense rank of their value among `values`; many rows may tie.
+
+    A NULL value has no rank.
+    """
     positions = dense_rank_positions(values, value, rank)
-    return salted_join(rows, positions, value, spread_by)
+    return salted_join(rows, positions, value, spread_by, how="left")

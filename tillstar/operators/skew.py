@@ -9,9 +9,14 @@ SALTS = 16
 
 
 def salted_join(
-    rows: DataFrame, per_key: DataFrame, key: str, spread_by: list[str], salts: int = SALTS
+    rows: DataFrame,
+    per_key: DataFrame,
+    key: str,
+    spread_by: list[str],
+    how: str = "inner",
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Inner join of many rows with a thin frame that has one row per key.
+    """Join many rows with a thin frame that has one row per key.
 
     When per_key comes out of a groupBy, Spark would reuse that grouping's shuffle and
     AQE could not split a hot key. The salt spreads a key over `salts` partitions and
@@ -19,7 +24,8 @@ def salted_join(
     copied `salts` times, so it should be narrow. The salt comes from the row's own
     values: a retried task gives the same rows.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    # coalesce marks the salt as never NULL, which spares a filter on it at the scan
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"), F.lit(0))
     copies = F.sequence(F.lit(0), F.lit(salts - 1))
     spread = per_key.withColumn("_salt", F.explode(copies))
-    return salted.join(spread, [key, "_salt"]).drop("_salt")
+    return rows.withColumn("_salt", salt).join(spread, [key, "_salt"], how).drop("_salt")
