@@ -40,10 +40,17 @@ def apply_rule(spark, cases, rule, schema="string"):
 
 
 def final_plan(df) -> str:
-    """The plan that adaptive execution ended with."""
+    """The plan that adaptive execution ended with, subqueries included."""
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return plan.split("== Initial Plan ==")[0]
+    kept, skip_from = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        indent = len(line) - len(line.lstrip(" :"))
+        if skip_from is not None and indent > skip_from:
+            continue
+        skip_from = indent if "== Initial Plan ==" in line else None
+        if skip_from is None:
+            kept.append(line)
+    return "\n".join(kept)
 
 
 def initial_plan(df) -> str:

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tests.helpers import day, tuples
+from tillstar import schemas
+from tillstar.functions import clock
+from tillstar.operators import clean
+
+CUSTOMER = "customer_id, age, gender, location, payment_method, subscription_status, previous_purchases"
+PRODUCT = (
+    "product_id, product_name, product_category, selling_price, brand_name, model_number, "
+    "image_url, product_url, is_amazon_seller"
+)
+ORDER = "user_id, product_id, interaction_type, event_ts"
+
+
+def text_frame(spark, columns, rows):
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns.split(", ")))
+
+
+def test_clean_customers(spark):
+    raw = text_frame(
+        spark,
+        CUSTOMER,
+        [
+            (" 1 ", "55", "Male", " new york ", "Credit Card", "Yes", "14"),
+            ("2", "12", "", "", None, "maybe", "many"),
+            ("C-3", "30", "F", "ohio", "cash", "no", "1"),
+            ("", "30", "F", "ohio", "cash", "no", "1"),
+        ],
+    )
+    out = clean.clean_customers(raw)
+    assert tuples(out.orderBy("customer_id")) == [
+        (1, 55, "male", "New York", "credit_card", "yes", 14),
+        (2, None, "unknown", "Unknown", "other", None, None),
+    ]
+    assert out.schema.simpleString() == spark.createDataFrame(
+        [], schemas.STG_CUSTOMERS
+    ).schema.simpleString()
+
+
+def test_clean_products(spark):
+    raw = text_frame(
+        spark,
+        PRODUCT,
+        [
+            ("p1", " Kite ", "Toys & Games | Kites", "$1,234.56", "", "7", "i", "u", "y"),
+            ("p2", "", "> x", "free", "B", " ", "", "", "?"),
+            ("  ", "n", "c", "1", "b", "m", "i", "u", "N"),
+        ],
+    )
+    out = clean.clean_products(raw)
+    assert tuples(out.orderBy("product_id")) == [
+        ("p1", "Kite", "Toys & Games", Decimal("1234.56"), None, "7", "i", "u", "Y"),
+        ("p2", None, "Other", None, "B", None, None, None, None),
+    ]
+    assert out.schema.simpleString() == spark.createDataFrame(
+        [], schemas.STG_PRODUCTS
+    ).schema.simpleString()
+
+
+ORDERS = [
+    (" 1 ", "p1", "PURCHASE", "31/12/2023 23:30"),
+    ("1", "p1", " view", "01/01/2024 0:10"),
+    ("2", "p9", "purchase", "15/07/2024 0:30"),
+    ("9", "p1", "purchase", "1/2/2024 10:00"),
+    ("x1", "p1", "view", "1/1/2024 8:00"),
+    ("1", " ", "view", "1/1/2024 8:00"),
+    ("1", "p1", "click", "1/1/2024 8:00"),
+    ("1", "p1", "view", "31/02/2024 8:00"),
+    ("1", "p1", "view", ""),
+]
+
+
+def staged_orders(spark):
+    return clean.clean_orders(text_frame(spark, ORDER, ORDERS))
+
+
+def test_clean_orders(spark):
+    out = staged_orders(spark)
+    got = out.withColumn("event_ts", clock.utc_clock(F.col("event_ts")).cast("string"))
+    assert tuples(got.orderBy("event_date", "user_id")) == [
+        (1, "p1", "purchase", "2023-12-31 23:30:00", day("2023-12-31"), 0),
+        (1, "p1", "view", "2024-01-01 00:10:00", day("2024-01-01"), 1),
+        (9, "p1", "purchase", "2024-02-01 10:00:00", day("2024-02-01"), 1),
+        (2, "p9", "purchase", "2024-07-14 23:30:00", day("2024-07-15"), 1),
+    ]
+    assert out.schema.simpleString() == spark.createDataFrame(
+        [], schemas.STG_ORDERS
+    ).schema.simpleString()
+
+
+def test_orders_in_2024_and_orphans(spark):
+    orders = staged_orders(spark)
+    in_2024 = clean.orders_in_2024(orders)
+    assert in_2024.count() == 3
+    products = spark.createDataFrame([("p1",), ("p2",)], "product_id string")
+    customers = spark.createDataFrame([(1,), (2,)], "customer_id int")
+    lost_products = clean.dq_orphans_products(in_2024, products)
+    lost_customers = clean.dq_orphans_customers(in_2024, customers)
+    assert [(r.user_id, r.product_id) for r in lost_products.collect()] == [(2, "p9")]
+    assert [(r.user_id, r.product_id) for r in lost_customers.collect()] == [(9, "p1")]
+    assert lost_products.columns == lost_customers.columns == orders.columns
+
+
+def test_invalid_price(spark):
+    products = spark.createDataFrame(
+        [("a", Decimal("1.00")), ("b", None), ("c", Decimal("0.00")), ("d", Decimal("-1.00"))],
+        "product_id string, selling_price decimal(10,2)",
+    )
+    bad = clean.dq_invalid_price(products)
+    assert sorted(r.product_id for r in bad.collect()) == ["b", "c", "d"]
+
+
+def test_raw_headers_are_understood(spark):
+    row = dict.fromkeys(schemas.CUSTOMER_COLUMNS, "") | {"Customer ID": "5", "Location": "maine"}
+    raw = spark.createDataFrame([tuple(row.values())], schemas.CUSTOMERS_RAW)
+    (out,) = clean.clean_customers(raw).collect()
+    assert (out.customer_id, out.location) == (5, "Maine")

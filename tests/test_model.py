@@ -1,0 +1,145 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+
+from tests.helpers import day, tuples
+from tillstar import schemas
+from tillstar.operators import clean, model
+from tillstar.sources.regions import dim_region
+
+
+def orders(spark, rows):
+    """rows of (user, product, interaction, text)"""
+    df = spark.createDataFrame(
+        [(str(u), p, i, t) for u, p, i, t in rows],
+        "user_id string, product_id string, interaction_type string, event_ts string",
+    )
+    return clean.clean_orders(df)
+
+
+def customers(spark, rows):
+    full = [(c, None, "male", loc, "cash", "yes", None) for c, loc in rows]
+    return spark.createDataFrame(full, schemas.STG_CUSTOMERS)
+
+
+def products(spark, rows):
+    full = [(p, p.upper(), "Toys", x, None, None, None, None, None) for p, x in rows]
+    return spark.createDataFrame(full, schemas.STG_PRODUCTS)
+
+
+def test_dim_region(spark):
+    regions = [r.region for r in dim_region(spark).collect()]
+    assert Counter(regions) == {"Northeast": 9, "Midwest": 12, "South": 17, "West": 13}
+    assert dim_region(spark).select("state_name").distinct().count() == 51
+
+
+def test_calendar_covers_whole_years(spark):
+    one_event = model.dim_calendar(orders(spark, [(1, "p", "view", "5/5/2023 9:00")]))
+    days = one_event.orderBy("date").collect()
+    assert len(days) == 365
+    assert tuple(days[0]) == (day("2023-01-01"), 2023, 1, "Jan", 1, 52, "Winter")
+    assert tuple(days[150]) == (day("2023-05-31"), 2023, 5, "May", 2, 22, "Spring")
+    assert tuple(days[-1]) == (day("2023-12-31"), 2023, 12, "Dec", 4, 52, "Winter")
+
+
+def test_calendar_without_events(spark):
+    days = model.dim_calendar(orders(spark, []))
+    span = days.selectExpr("min(date)", "max(date)", "count(*)")
+    assert tuples(span) == [(day("2020-01-01"), day("2025-12-31"), 2192)]
+
+
+def test_dim_product_needs_a_price(spark):
+    prices = [("a", Decimal("1.00")), ("b", None), ("c", Decimal("0.00"))]
+    out = model.dim_product(products(spark, prices))
+    assert tuples(out) == [("a", "A", "Toys", Decimal("1.00"))]
+
+
+def test_dim_customer(spark):
+    stg = customers(
+        spark,
+        [(1, "Kentucky"), (2, "District Of Columbia"), (3, "Ontario"), (4, "Oregon")],
+    )
+    seen = orders(
+        spark,
+        [
+            (1, "gone", "purchase", "3/3/2023 9:00"),
+            (1, "p", "purchase", "2/3/2023 9:00"),
+            (1, "p", "view", "1/1/2023 9:00"),
+            (4, "p", "view", "1/1/2023 9:00"),
+        ],
+    )
+    out = model.dim_customer(stg, dim_region(spark), seen).orderBy("customer_id")
+    assert [(r.customer_id, r.region, r.first_seen_date) for r in out.collect()] == [
+        (1, "South", day("2023-03-02")),
+        (2, "Unknown", None),
+        (3, "Unknown", None),
+        (4, "West", None),
+    ]
+    assert out.columns == [f.split()[0] for f in schemas.DIM_CUSTOMER.split(", ")]
+
+
+def star(spark, events):
+    stg_orders = orders(spark, events)
+    stg_products = products(spark, [("p", Decimal("9.99")), ("free", Decimal("0.00"))])
+    stg_customers = customers(spark, [(1, "Ohio"), (2, "Texas")])
+    return model.fact_sales(
+        stg_orders,
+        model.dim_product(stg_products),
+        model.dim_customer(stg_customers, dim_region(spark), stg_orders),
+        model.dim_calendar(stg_orders),
+    )
+
+
+def test_fact_sales(spark):
+    fact = star(
+        spark,
+        [
+            (1, "p", "purchase", "10/10/2023 8:00"),
+            (2, "p", "purchase", "1/1/2023 8:00"),
+            (1, "p", "view", "11/10/2023 8:00"),
+            (1, "free", "purchase", "10/10/2023 8:00"),
+            (1, "gone", "purchase", "10/10/2023 8:00"),
+            (3, "p", "purchase", "10/10/2023 8:00"),
+        ],
+    )
+    price, zero = Decimal("9.99"), Decimal("0.00")
+    expected = [
+        ("1::p::2023-10-10 08:00:00+01", day("2023-10-10"), 1, "Midwest"),
+        ("2::p::2023-01-01 08:00:00+00", day("2023-01-01"), 2, "South"),
+    ]
+    got = tuples(fact.orderBy("customer_id").drop("created_at"))
+    assert got == [
+        (hashlib.md5(key.encode()).hexdigest(), when, customer, "p", 1, price, price)
+        + (zero, zero, zero, price, region, "cash")
+        for key, when, customer, region in expected
+    ]
+    declared = spark.createDataFrame([], schemas.FACT_SALES).schema
+    assert fact.schema.simpleString() == declared.simpleString()
+    assert fact.select("created_at").distinct().count() == 1
+
+
+def test_equal_purchases_share_an_order_id(spark):
+    """Two equal events are two lines with one order id; the key check reports them."""
+    twice = [(1, "p", "purchase", "10/10/2023 8:00")] * 2
+    fact = star(spark, twice)
+    assert fact.count() == 2
+    (repeated,) = model.duplicate_keys(fact, "order_id").collect()
+    assert repeated.n == 2
+    with pytest.raises(model.DuplicateKeyError, match="order_id"):
+        model.assert_key(fact, "order_id")
+    assert model.assert_key(fact, "order_id", on_duplicate="report").count() == 1
+
+
+def test_assert_key(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b")], "k int, v string")
+    assert model.assert_key(df, "k", "v").count() == 0
+    with pytest.raises(model.DuplicateKeyError):
+        model.assert_key(df, "k")
+    with pytest.raises(model.DuplicateKeyError):
+        model.assert_key(spark.createDataFrame([(None,)], "k int"), "k")
+    with pytest.raises(ValueError, match="on_duplicate"):
+        model.assert_key(df, "k", "v", on_duplicate="ignore")

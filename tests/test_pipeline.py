@@ -1,0 +1,193 @@
+from __future__ import annotations
+
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+
+from tests.helpers import day, tuples
+from tillstar import schemas
+from tillstar.operators import model
+from tillstar.plans import pipeline
+from tillstar.sinks import snapshots, warehouse
+from tillstar.sources import extracts
+
+
+def write_csv(path, columns, rows):
+    """Rows as dicts by header; a value is written as it is, quotes included."""
+    lines = [",".join(columns)] + [",".join(row.get(c, "") for c in columns) for row in rows]
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+CUSTOMERS = [
+    {"Customer ID": str(i), "Age": "30", "Gender": "Male", "Location": state, "Payment Method": pay}
+    for i, state, pay in [(1, "Kentucky", "Venmo"), (2, "Oregon", "Cash"), (3, "Ontario", "PayPal")]
+]
+PRODUCTS = [
+    {"Uniqe Id": "p1", "Product Name": '"Kite ""XL"", red"', "Category": '"Clothing, Shoes | Hats"', "Selling Price": "$10.00"},
+    {"Uniqe Id": "p2", "Product Name": '"two\nlines"', "Category": "Toys > Cars", "Selling Price": '"$1,234.50"'},
+    {"Uniqe Id": "p3", "Product Name": "back\\slash", "Category": "Toys", "Selling Price": "n/a"},
+]
+ORDERS = [
+    {"user id": u, "product id": p, "Interaction type": i, "Time stamp": t}
+    for u, p, i, t in [
+        ("1", "p1", "purchase", "10/10/2023 8:00"),
+        ("1", "p2", "Purchase", "11/10/2023 8:00"),
+        ("2", "p1", "purchase", "28/12/2022 8:00"),
+        ("2", "p3", "purchase", "28/12/2022 9:00"),
+        ("9", "p1", "purchase", "1/2/2024 9:00"),
+        ("3", "p1", "view", "1/2/2024 9:00"),
+        ("", "", "", ""),
+    ]
+]
+
+
+def write_source(folder: Path) -> str:
+    folder.mkdir(exist_ok=True)
+    write_csv(folder / extracts.CUSTOMERS_FILE, schemas.CUSTOMER_COLUMNS, CUSTOMERS)
+    write_csv(folder / extracts.PRODUCTS_FILE, schemas.PRODUCT_COLUMNS, PRODUCTS)
+    write_csv(folder / extracts.ORDERS_FILE, schemas.ORDER_COLUMNS, ORDERS)
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("job")
+    src, root = write_source(folder / "in"), str(folder / "out")
+    first = pipeline.build(spark, src, root)
+    before = {t: sorted(map(str, stable(df))) for t, df in first.tables.items()}
+    return before, pipeline.build(spark, src, root), folder
+
+
+def stable(df):
+    return tuples(df.drop("created_at"))
+
+
+def test_build_again_gives_the_same(built):
+    before, second, _ = built
+    assert {t: sorted(map(str, stable(df))) for t, df in second.tables.items()} == before
+    assert len(before) == 14
+
+
+def test_built_tables(spark, built):
+    products = {r.product_id: r for r in spark.table("stg.stg_products").collect()}
+    assert products["p1"].product_name == 'Kite "XL", red'
+    assert products["p1"].product_category == "Clothing, Shoes"
+    assert products["p2"].product_name == "two\nlines"
+    assert products["p2"].selling_price == Decimal("1234.50")
+    assert products["p3"].product_name == "back\\slash"
+    sales = spark.table("core.fact_sales")
+    lines = sales.select("customer_id", "product_id", "order_date", "net_revenue", "region")
+    assert sorted(tuples(lines)) == [
+        (1, "p1", day("2023-10-10"), Decimal("10.00"), "South"),
+        (1, "p2", day("2023-10-11"), Decimal("1234.50"), "South"),
+        (2, "p1", day("2022-12-28"), Decimal("10.00"), "West"),
+    ]
+    assert spark.table("raw.orders_raw").columns == list(schemas.ORDER_COLUMNS)
+    assert spark.table("stg.stg_dq_orphans_customers").count() == 1
+    assert spark.table("core.dim_calendar").count() == 3 * 365 + 1
+
+
+def test_views(spark, built):
+    (headline,) = spark.sql("SELECT * FROM v_kpi_headline").collect()
+    assert (headline.orders, headline.net_revenue) == (3, Decimal("1254.50"))
+    assert spark.sql("SELECT * FROM v_stg_orders_2024").count() == 2
+    failed = spark.sql("SELECT metric FROM v_dq_summary WHERE NOT pass")
+    assert tuples(failed) == [("invalid_or_missing_price",)]
+    names = ["v_top_customers_ltv", "v_sales_by_category", "v_sales_by_region"]
+    names += ["v_seasonality_monthly", "v_payment_mix", "v_customer_first_purchase"]
+    names += ["v_order_new_repeat", "v_customer_repeat_windows"]
+    assert all(spark.table(name).count() > 0 for name in names)
+
+
+def test_answers_and_quality(built):
+    _, build, _ = built
+    assert len(build.analysis) == 7
+    assert [r.customer_id for r in build.analysis["top_customers_ltv"].collect()] == [1, 2]
+    assert build.quality.count() == 20
+
+
+def read_lines(folder: str) -> list[str]:
+    parts = sorted(Path(folder).glob("part-*"))
+    return [line for p in parts for line in p.read_text(encoding="utf-8").splitlines()]
+
+
+def test_export(spark, built):
+    _, build, folder = built
+    out = str(folder / "exports")
+    for _ in range(2):  # replaces what is there
+        paths = pipeline.export_snapshots(spark, build.tables, out)
+    assert sorted(p.name for p in Path(out).iterdir()) == sorted(Path(p).name for p in paths)
+    assert read_lines(f"{out}/kpi_headline.csv") == [
+        "orders,customers,products,net_revenue,aov,min_date,max_date",
+        "3,2,2,1254.50,418.17,2022-12-28,2023-10-11",
+    ]
+    assert read_lines(f"{out}/sales_by_category.csv") == [
+        "product_category,orders,revenue,revenue_share_pct",
+        "Toys,1,1234.50,98.41",
+        '"Clothing, Shoes",2,20.00,1.59',
+    ]
+    assert read_lines(f"{out}/new_vs_repeat.csv")[1:] == [
+        "new,2,20.00,66.67,1.59",
+        "repeat,1,1234.50,33.33,98.41",
+    ]
+    assert read_lines(f"{out}/top_customers_ltv.csv")[0].endswith("orders_count,ltv,ltv_rank")
+
+
+def test_export_text_form(spark, tmp_path):
+    rows = [('say "hi"', None), (" padded ", "")]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    snapshots.export_csv(df, str(tmp_path / "x.csv"))
+    assert read_lines(str(tmp_path / "x.csv")) == ["a,b", '"say ""hi""",', ' padded ,""']
+
+
+def test_a_failing_export_replaces_nothing(spark, tmp_path):
+    good = {"a": spark.range(1).coalesce(1), "b": spark.range(2)}
+    snapshots.export_all(spark, good, str(tmp_path))
+    broken = spark.range(1).selectExpr("CAST(raise_error('stop here') AS INT) AS id")
+    with pytest.raises(Exception, match="stop here"):
+        snapshots.export_all(spark, {"a": spark.range(9), "b": broken}, str(tmp_path))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a.csv", "b.csv"]
+    assert read_lines(str(tmp_path / "a.csv")) == ["id", "0"]
+
+
+def test_blank_extract_has_no_rows(spark, tmp_path):
+    (tmp_path / "blank.csv").write_text("\n")
+    blank = extracts.read_products_raw(spark, str(tmp_path / "blank.csv"))
+    assert blank.count() == 0 and len(blank.columns) == 28
+
+
+def test_header_is_skipped_not_matched(spark, tmp_path):
+    (tmp_path / "o.csv").write_text("a,b,c,d,e\n1,p,view,1/1/2024 8:00,\n")
+    (row,) = extracts.read_orders_raw(spark, str(tmp_path / "o.csv")).collect()
+    assert tuple(row) == ("1", "p", "view", "1/1/2024 8:00", None)
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_a_torn_row_stops_the_load(spark, tmp_path, split):
+    (tmp_path / "o.csv").write_text("a,b,c,d,e\n1,p,view,1/1/2024 8:00,\n2,p\n")
+    path = str(tmp_path / "o.csv")
+    torn = extracts.read_orders_raw(spark, path, line_breaks_in_fields=not split)
+    with pytest.raises(Exception, match="MALFORMED"):
+        torn.collect()
+
+
+def test_repeated_customer_stops_the_build(spark, tmp_path):
+    src = write_source(tmp_path / "in")
+    write_csv(Path(src) / extracts.CUSTOMERS_FILE, schemas.CUSTOMER_COLUMNS, CUSTOMERS + CUSTOMERS[:1])
+    with pytest.raises(model.DuplicateKeyError, match="customer_id"):
+        pipeline.build(spark, src, str(tmp_path / "out"))
+    report = pipeline.build(spark, src, str(tmp_path / "out"), on_duplicate="report").quality
+    values = {r.metric: r.value for r in report.collect()}
+    assert values["dupe_dim_customer"] == "1" and values["rows_fact_sales"] == "5"
+
+
+def test_missing_tables(spark):
+    with pytest.raises(warehouse.MissingTableError, match="core.nowhere"):
+        warehouse.require_tables(spark, ["core.nowhere"])
+
+
+def test_scratch_is_in_the_shared_folder(spark):
+    first, second = warehouse.scratch(spark), warehouse.scratch(spark)
+    assert first.root != second.root
+    assert first.root.startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -32,17 +32,16 @@ def export_all(spark: SparkSession, frames: dict[str, DataFrame], out: str) -> l
     """
     out = out.rstrip("/")
     staging = f"{out}/_staging-{uuid.uuid4().hex}"
-    for name, df in frames.items():
-        export_csv(df, f"{staging}/{name}.csv")
-
     paths = spark._jvm.org.apache.hadoop.fs.Path
     fs = paths(out).getFileSystem(spark._jsc.hadoopConfiguration())
-    published = []
-    for name in frames:
-        target = f"{out}/{name}.csv"
-        fs.delete(paths(target), True)
-        if not fs.rename(paths(f"{staging}/{name}.csv"), paths(target)):
-            raise OSError(f"could not publish {target}")
-        published.append(target)
-    fs.delete(paths(staging), True)
-    return published
+    targets = {name: f"{out}/{name}.csv" for name in frames}
+    try:
+        for name, df in frames.items():
+            export_csv(df, f"{staging}/{name}.csv")
+        for name, target in targets.items():
+            fs.delete(paths(target), True)
+            if not fs.rename(paths(f"{staging}/{name}.csv"), paths(target)):
+                raise OSError(f"could not publish {target}")
+    finally:
+        fs.delete(paths(staging), True)
+    return list(targets.values())
