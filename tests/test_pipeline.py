@@ -191,3 +191,15 @@ def test_scratch_is_in_the_shared_folder(spark):
     first, second = warehouse.scratch(spark), warehouse.scratch(spark)
     assert first.root != second.root
     assert first.root.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tillstar.__main__ import main
+
+    src, root, out = write_source(tmp_path / "in"), str(tmp_path / "dw"), str(tmp_path / "out")
+    main(["build", src, root])
+    assert "1254.50" in capsys.readouterr().out
+    main(["report", root])
+    assert "fact→dim_customer_orphans" in capsys.readouterr().out
+    main(["export", root, out])
+    assert len(list(Path(out).iterdir())) == 7

@@ -21,7 +21,19 @@ from tillstar.sources.regions import dim_region
 Tables = dict[str, DataFrame]
 
 RAW = ("raw.customers_raw", "raw.products_raw", "raw.orders_raw")
-CORE = ("core.fact_sales", "core.dim_product", "core.dim_customer", "core.dim_calendar")
+STAGING = ("stg.stg_customers", "stg.stg_products", "stg.stg_orders")
+HELPERS = (
+    "stg.stg_dq_invalid_price",
+    "stg.stg_dq_orphans_products",
+    "stg.stg_dq_orphans_customers",
+)
+CORE = (
+    "core.dim_region",
+    "core.dim_calendar",
+    "core.dim_product",
+    "core.dim_customer",
+    "core.fact_sales",
+)
 
 
 def stage(raw: Tables, wh: Warehouse, tz: str = clock.LONDON) -> Tables:
@@ -134,6 +146,11 @@ def export_snapshots(spark: SparkSession, tables: Tables, out: str) -> list[str]
     return export_all(spark, snapshots(tables, top_n=50), out)
 
 
+def stored_tables(wh: Warehouse) -> Tables:
+    """The tables of an earlier build, read from their folders."""
+    return {name: wh.read(name) for name in RAW + STAGING + HELPERS + CORE}
+
+
 @dataclass
 class Build:
     """What a build leaves: stored tables, lazy answers and the quality report."""
