@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from tillstar.functions import clock
 from tillstar.operators import quality
 from tillstar.plans import pipeline
+from tillstar.session import session
 from tillstar.sinks.warehouse import Warehouse
 
 
@@ -41,7 +42,7 @@ def _show(answers: dict[str, DataFrame], checks: DataFrame) -> None:
 
 def main(args: list[str] | None = None) -> None:
     options = _parse(args)
-    spark = SparkSession.builder.appName("tillstar").getOrCreate()
+    spark = session()
     if options.command == "build":
         built = pipeline.build(
             spark, options.source, options.root, options.zone, options.on_duplicate

@@ -65,12 +65,16 @@ def seller_flag(c: Column) -> Column:
     return _label_of(c, SELLER_LABELS)
 
 
+def is_interaction(c: Column) -> Column:
+    return c.isin(INTERACTIONS)
+
+
 def interaction(c: Column) -> Column:
-    return F.when(c.isin(INTERACTIONS), c)
+    return F.when(is_interaction(c), c)
 
 
 def not_an_interaction(c: Column) -> Column:
-    return c.isNull() | ~c.isin(INTERACTIONS)
+    return c.isNull() | ~is_interaction(c)
 
 
 def plausible_age(c: Column) -> Column:

@@ -59,9 +59,15 @@ def clean_orders(raw: DataFrame, tz: str = clock.LONDON) -> DataFrame:
     typed = o.select(
         text.digits_to_int(text.blank_to_null(F.col("user_id"))).alias("user_id"),
         text.blank_to_null(F.col("product_id")).alias("product_id"),
-        domains.interaction(text.lower_token(F.col("interaction_type"))).alias("interaction_type"),
+        text.lower_token(F.col("interaction_type")).alias("interaction_type"),
         clock.read_wall(text.blank_to_null(F.col("event_ts"))).alias("wall"),
-    ).dropna()
+    ).where(
+        # cheapest first: a time is parsed only when all else is there
+        domains.is_interaction(F.col("interaction_type"))
+        & F.col("product_id").isNotNull()
+        & F.col("user_id").isNotNull()
+        & F.col("wall").isNotNull()
+    )
     dated = typed.withColumn("event_date", clock.utc_date(F.col("wall")))
     return clock.with_instant(dated, "wall", "event_ts", tz).select(
         "user_id",
