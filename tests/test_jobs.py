@@ -8,7 +8,7 @@ import pytest
 from tests.helpers import day, tuples
 from tillstar import schemas
 from tillstar.operators import model
-from tillstar.plans import pipeline
+from tillstar.plans import jobs
 from tillstar.sinks import snapshots, warehouse
 from tillstar.sources import extracts
 
@@ -54,9 +54,9 @@ def write_source(folder: Path) -> str:
 def built(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("job")
     src, root = write_source(folder / "in"), str(folder / "out")
-    first = pipeline.build(spark, src, root)
+    first = jobs.build(spark, src, root)
     before = {t: sorted(map(str, stable(df))) for t, df in first.tables.items()}
-    return before, pipeline.build(spark, src, root), folder
+    return before, jobs.build(spark, src, root), folder
 
 
 def stable(df):
@@ -116,7 +116,7 @@ def test_export(spark, built):
     _, build, folder = built
     out = str(folder / "exports")
     for _ in range(2):  # replaces what is there
-        paths = pipeline.export_snapshots(spark, build.tables, out)
+        paths = jobs.export_snapshots(spark, build.tables, out)
     assert sorted(p.name for p in Path(out).iterdir()) == sorted(Path(p).name for p in paths)
     assert read_lines(f"{out}/kpi_headline.csv") == [
         "orders,customers,products,net_revenue,aov,min_date,max_date",
@@ -164,20 +164,30 @@ def test_header_is_skipped_not_matched(spark, tmp_path):
 
 
 @pytest.mark.parametrize("split", [True, False])
-def test_a_torn_row_stops_the_load(spark, tmp_path, split):
-    (tmp_path / "o.csv").write_text("a,b,c,d,e\n1,p,view,1/1/2024 8:00,\n2,p\n")
+@pytest.mark.parametrize("torn", ["2,p", "2,p,view,1/1/2024 8:00,,extra"])
+def test_a_torn_row_stops_the_load(spark, tmp_path, split, torn):
+    (tmp_path / "o.csv").write_text(f"a,b,c,d,e\n1,p,view,1/1/2024 8:00,\n{torn}\n")
     path = str(tmp_path / "o.csv")
-    torn = extracts.read_orders_raw(spark, path, line_breaks_in_fields=not split)
+    rows = extracts.read_orders_raw(spark, path, line_breaks_in_fields=not split)
     with pytest.raises(Exception, match="MALFORMED"):
-        torn.collect()
+        rows.collect()
+
+
+def test_build_over_tables_of_another_session(spark, tmp_path):
+    src, root = write_source(tmp_path / "in"), str(tmp_path / "out")
+    jobs.build(spark, src, root)
+    for table in jobs.RAW + jobs.STAGING + jobs.HELPERS + jobs.CORE:
+        spark.sql(f"DROP TABLE {table}")  # the catalog forgets, the files stay
+    again = jobs.build(spark, src, root)
+    assert again.tables["core.fact_sales"].count() == 3
 
 
 def test_repeated_customer_stops_the_build(spark, tmp_path):
     src = write_source(tmp_path / "in")
     write_csv(Path(src) / extracts.CUSTOMERS_FILE, schemas.CUSTOMER_COLUMNS, CUSTOMERS + CUSTOMERS[:1])
     with pytest.raises(model.DuplicateKeyError, match="customer_id"):
-        pipeline.build(spark, src, str(tmp_path / "out"))
-    report = pipeline.build(spark, src, str(tmp_path / "out"), on_duplicate="report").quality
+        jobs.build(spark, src, str(tmp_path / "out"))
+    report = jobs.build(spark, src, str(tmp_path / "out"), on_duplicate="report").quality
     values = {r.metric: r.value for r in report.collect()}
     assert values["dupe_dim_customer"] == "1" and values["rows_fact_sales"] == "5"
 

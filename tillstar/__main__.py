@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from tillstar.functions import clock
 from tillstar.operators import quality
-from tillstar.plans import pipeline
+from tillstar.plans import jobs
 from tillstar.session import session
 from tillstar.sinks.warehouse import Warehouse
 
@@ -44,16 +44,16 @@ def main(args: list[str] | None = None) -> None:
     options = _parse(args)
     spark = session()
     if options.command == "build":
-        built = pipeline.build(
+        built = jobs.build(
             spark, options.source, options.root, options.zone, options.on_duplicate
         )
         _show(built.analysis, built.quality)
         return
-    tables = pipeline.stored_tables(Warehouse(spark, options.root))
+    tables = jobs.stored_tables(Warehouse(spark, options.root))
     if options.command == "report":
-        _show(pipeline.analysis(tables), quality.dq_summary(tables))
+        _show(jobs.analysis(tables), quality.dq_summary(tables))
     else:
-        print("\n".join(pipeline.export_snapshots(spark, tables, options.out)))
+        print("\n".join(jobs.export_snapshots(spark, tables, options.out)))
 
 
 if __name__ == "__main__":

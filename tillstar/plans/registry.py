@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import clock
 from tillstar.operators import clean, feeds, kpi, model, quality
-from tillstar.plans import pipeline
+from tillstar.plans import jobs
 from tillstar.sinks.snapshots import export_csv
 from tillstar.sinks.warehouse import scratch
 from tillstar.sources import driver_tables, extracts
@@ -65,13 +65,13 @@ def _dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> Tables:
-    return {name: driver_tables.raw_table(spark, sf_dir, name) for name in pipeline.RAW}
+    return {name: driver_tables.raw_table(spark, sf_dir, name) for name in jobs.RAW}
 
 
 def _fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = scratch(spark)
-    stg = pipeline.stage(_raw(spark, sf_dir), wh)
-    return pipeline.fact(stg | pipeline.dimensions(stg, wh)).drop("created_at")
+    stg = jobs.stage(_raw(spark, sf_dir), wh)
+    return jobs.fact(stg | jobs.dimensions(stg, wh)).drop("created_at")
 
 
 def _on_star(build: Callable[[Tables], DataFrame], helpers: bool = False) -> Query:
@@ -79,8 +79,8 @@ def _on_star(build: Callable[[Tables], DataFrame], helpers: bool = False) -> Que
 
     def query(spark, sf_dir):
         wh = scratch(spark)
-        tables = pipeline.star(_raw(spark, sf_dir), wh)
-        return build(tables | pipeline.helpers(tables, wh) if helpers else tables)
+        tables = jobs.star(_raw(spark, sf_dir), wh)
+        return build(tables | jobs.helpers(tables, wh) if helpers else tables)
 
     return query
 
