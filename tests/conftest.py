@@ -35,3 +35,14 @@ def no_broadcast(spark):
     spark.conf.set(key, "-1")
     yield
     spark.conf.set(key, old)
+
+
+@pytest.fixture
+def restored_settings(spark):
+    """Undo what a test does to the settings of the shared session."""
+    from tillstar.session import SETTINGS
+
+    old = {key: spark.conf.get(key, None) for key in SETTINGS}
+    yield
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)

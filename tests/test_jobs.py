@@ -203,7 +203,7 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert first.root.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_command_line(spark, tmp_path, capsys):
+def test_command_line(spark, restored_settings, tmp_path, capsys):
     from tillstar.__main__ import main
 
     src, root, out = write_source(tmp_path / "in"), str(tmp_path / "dw"), str(tmp_path / "out")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.helpers import final_plan, initial_plan
 from tillstar.operators import clean, kpi, model, quality
 from tillstar.plans import registry
+from tillstar.session import SETTINGS
 from tillstar.sinks.warehouse import scratch
 from tillstar.sources.regions import dim_region
 
@@ -80,11 +81,26 @@ def test_fact_joins_split_hot_keys(stored, no_broadcast, small_skew):
         stored["core.dim_customer"],
         stored["core.dim_calendar"],
     )
-    plan = final_plan(fact)
-    assert plan.count("SortMergeJoin(skew=true)") >= 2
+    assert final_plan(fact).count("SortMergeJoin(skew=true)") >= 2
     assert fact.count() == 30_000
 
 
+def test_hash_joins_split_hot_keys_too(spark, stored, no_broadcast, small_skew):
+    """With the recommended settings the thin sides are hashed, not sorted."""
+    key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    spark.conf.set(key, SETTINGS[key])
+    try:
+        fact = model.fact_sales(
+            stored["stg.stg_orders"],
+            stored["core.dim_product"],
+            stored["core.dim_customer"],
+            stored["core.dim_calendar"],
+        )
+        assert final_plan(fact).count("ShuffledHashJoin(skew=true)") >= 2
+    finally:
+        spark.conf.unset(key)
+
+
 def test_fact_reads_only_purchases_and_needed_columns(stored):
     fact = model.fact_sales(
         stored["stg.stg_orders"],

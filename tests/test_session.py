@@ -3,13 +3,10 @@ from __future__ import annotations
 from tillstar.session import SETTINGS, session, shuffle_partitions
 
 
-def test_settings_apply_to_the_running_session(spark):
+def test_settings_apply_to_the_running_session(spark, restored_settings):
     key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
-    old = {k: spark.conf.get(k, None) for k in SETTINGS}
     assert session(settings={key: "1m"}).conf.get(key) == "1m"
     assert session().conf.get(key) == SETTINGS[key]
-    for k, v in old.items():
-        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def test_shuffle_partitions():
