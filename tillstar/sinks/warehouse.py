@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 LAYERS = ("raw", "stg", "core")
 
@@ -45,7 +46,7 @@ class Warehouse:
             writer.option("path", self.path(table)).saveAsTable(table)
         else:
             writer.save(self.path(table))
-        return self.read(table)
+        return self.read(table, df.schema)
 
     def write_all(self, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Store frames that do not depend on each other as concurrent jobs."""
@@ -54,10 +55,12 @@ class Warehouse:
             jobs = {name: pool.submit(write, df, name) for name, df in frames.items()}
         return {name: job.result() for name, job in jobs.items()}
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, schema: StructType | None = None) -> DataFrame:
+        """A stored table; a known schema spares the look into a footer."""
         if self.catalog:
             return self.spark.table(table)
-        return self.spark.read.parquet(self.path(table))
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(self.path(table))
 
     def require(self, *tables: str) -> None:
         require_tables(self.spark, tables)
