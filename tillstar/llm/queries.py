@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import ann, decontaminate, language, packing, token_counts, toxicity, warc
+from tillstar.llm import ann, decontaminate, language, line_dedup, near_duplicates, packing, token_counts, toxicity, warc
 from tillstar.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,18 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(index, index.vectors.filter("vec_id % 50 = 0").select("vec_id", "v"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup_lines(docs, removed="removed")
+    return out.select(
+        "doc_id",
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"),
+        "text",
+    )
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived and read back."""
     manifest = warc.archive(table(spark, sf_dir, "pages"))
@@ -62,6 +74,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_duplicates.near_duplicates(docs, percent=85, width=3)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark passage, with the item."""
     return decontaminate.contamination(
@@ -77,10 +94,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_nearest": op1_nearest,
+    "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op5_token_counts": op5_token_counts,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_decontamination": op9_decontamination,
     "op10_language": op10_language,
 }

@@ -27,7 +27,7 @@ from tillstar.llm.common import stored
 
 #: The classifier is fitted on at most so many labelled texts, on so many words of each kind.
 TEXTS, WORDS = 12_000, 4_000
-LANDMARKS, ROUNDS = 256, 3
+LANDMARKS, ROUNDS = 512, 3
 #: Decay per character spanned and the longest span of a subsequence.
 DECAY, SPAN = 0.7, 6
 SYMBOLS = 32
