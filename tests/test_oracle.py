@@ -7,13 +7,14 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__
+from tillstar.plans import oracle, registry
 
 duckdb = pytest.importorskip("duckdb")
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUERIES = __spark_entry__.queries()
-ORACLE = __spark_entry__.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no driver tables")
 
