@@ -8,7 +8,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import ann, decontaminate, language, line_dedup, near_duplicates, packing, token_counts, toxicity, warc
+import corpus_pipeline
+from tillstar.llm import ann, class_lm, decontaminate, language, line_dedup, near_duplicates, packing, token_counts, toxicity, warc
 from tillstar.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, scored by a model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out(7).alias("held_out"), "text")
+    return class_lm.score(docs, class_lm.train(docs.filter("not held_out")))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, tokenizer_path("piece_bpe_32k.model"))
@@ -96,12 +103,14 @@ QUERIES: dict[str, Query] = {
     "op1_nearest": op1_nearest,
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
+    "op4_class_lm": op4_class_lm,
     "op5_token_counts": op5_token_counts,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_decontamination": op9_decontamination,
     "op10_language": op10_language,
+    "pipeline": corpus_pipeline.run,
 }
 
 # Each page's record by its payload alone: the archive must give back what went in.
