@@ -1,6 +1,6 @@
 """Line-level deduplication by an exact set-similarity join, in DataFrame operations only.
 
-A line is the set of its words. Lines with equal sets are one class. For a Jaccard similarity of
+A line is the set of its words; equal lines are one class. For a Jaccard similarity of
 t two sets of sizes n and m must share ceil(t / (1 + t) * (n + m)) words, so both have a shared
 word among their first n - ceil(t * n) + 1 words in any fixed order: words are ordered by rarity
 and only those prefixes are joined. Length, position and a parity sketch of the sets drop pairs
@@ -27,6 +27,8 @@ BUCKETS = 1 << 16
 FILTER_BITS = 1 << 20
 #: Rounds in which each class meets the first one with the same least hash of its words.
 ROUNDS = 2
+#: An order of the words for each round, by the hash bits of their codes.
+LEAST = ["w & 140737488355327", "(w & 140737488355327) ^ 97785912395433"]
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -35,9 +37,10 @@ def _lines(docs: DataFrame) -> DataFrame:
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content")
     )
     parts = F.split(F.lower("content"), "[ \\t\\x0B\\f\\r]+")
-    return found.select("doc_id", "line", F.array_remove(parts, "").alias("words")).filter(
-        F.size("words") > 0
-    )
+    # equal lines share their key; equal sets of different lines are found as similar ones
+    key = F.struct(F.xxhash64("content").alias("a"), F.hash("content", F.length("content")).alias("b"))
+    words = F.array_remove(parts, "").alias("words")
+    return found.select("doc_id", "line", key.alias("key"), words).filter(F.size("words") > 0)
 
 
 def _rarity(lines: DataFrame) -> str:
@@ -68,18 +71,18 @@ def _least_overlap(n: str, m: str, t: int) -> str:
 
 
 def _classes(sets: DataFrame, t: int) -> DataFrame:
-    """Equal sets as one row: key, n, prefix, sketch (s0, s1), first place, copies, and the
+    """Equal lines as one row: key, n, prefix, sketch (s0, s1), first place, copies, and the
     least hashes of their words."""
     parity = "aggregate(words, 0L, (s, w) -> s ^ if((w & 64) = {}, shiftleft(1L, cast(w & 63 as int)), 0L))"
     keyed = sets.select(
         "doc_id",
         "line",
-        F.xxhash64("words").alias("key"),
+        "key",
         F.size("words").alias("n"),
         F.expr(f"slice(words, 1, size(words) - cast(ceil({t} * size(words) / 100) as int) + 1)").alias("prefix"),
         F.expr(parity.format(0)).alias("s0"),
         F.expr(parity.format(64)).alias("s1"),
-        *(F.expr(f"array_min(transform(words, w -> xxhash64(w, {r})))").alias(f"least{r}") for r in range(ROUNDS)),
+        *(F.expr(f"array_min(transform(words, w -> {LEAST[r]}))").alias(f"least{r}") for r in range(ROUNDS)),
     )
     whole = ["key", "n", "s0", "s1", "prefix", *(f"least{r}" for r in range(ROUNDS))]
     place = F.col("doc_id").cast("decimal(38,0)") * (1 << 32) + F.col("line")
@@ -92,25 +95,28 @@ def _classes(sets: DataFrame, t: int) -> DataFrame:
 
 def _possible(t: int, position: bool) -> Column:
     """Whether sets x and y can reach the overlap, y being the earlier."""
-    need = _least_overlap("x.n", "y.n", t)
+    xn, yn = ("x.n", "y.n") if not position else ("shiftright(x.p, 32)", "shiftright(y.p, 32)")
+    need = _least_overlap(xn, yn, t)
     tests = [
         "(y.doc < x.doc or (y.doc = x.doc and y.line < x.line))",
-        f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {t}",
-        f"x.n + y.n - bit_count(x.s0 ^ y.s0) - bit_count(x.s1 ^ y.s1) >= 2 * {need}",
+        f"least({xn}, {yn}) * 100 >= greatest({xn}, {yn}) * {t}",
+        f"{xn} + {yn} - bit_count(x.s0 ^ y.s0) - bit_count(x.s1 ^ y.s1) >= 2 * {need}",
     ]
     if position:
         # at most the words before the match, the match, and the words after it are shared
-        tests.append(f"least(x.i, y.i) + least(x.n - x.i, y.n - y.i) >= {need}")
+        xi, yi = "(x.p & 2147483647)", "(y.p & 2147483647)"
+        tests.append(f"least({xi}, {yi}) + least({xn} - {xi}, {yn} - {yi}) >= {need}")
     return F.expr(" and ".join(tests))
 
 
-def _maybe(ids: DataFrame, key: str) -> Column:
-    """Whether a doc_id may be among these: a filter of fixed size, without false negatives."""
+def _maybe(ids: DataFrame, key: str, of: Column | None = None) -> Column:
+    """Whether `of` (by default doc_id) may be among these: a filter of fixed size, without
+    false negatives."""
     at = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).cast("int")
     bits = bytearray(FILTER_BITS // 8)
     for (bit,) in ids.select(at).distinct().collect():
         bits[bit >> 3] |= 1 << (bit & 7)
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
+    at = F.pmod(F.xxhash64(F.col("doc_id") if of is None else of), F.lit(FILTER_BITS)).cast("int")
     byte = F.substring(F.lit(bytes(bits)), F.shiftright(at, 3) + 1, F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")
     return F.coalesce(value.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0, F.lit(False))
@@ -121,7 +127,7 @@ def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, rarity: st
     pairs = stored(spark, pairs.distinct(), "pairs")
     wanted = pairs.select("doc", "line").union(pairs.select("to_doc", "to_line")).distinct()
     near = docs.filter(_maybe(wanted, "doc"))
-    sets = _sets(_lines(near), rarity).withColumnRenamed("doc_id", "doc").join(wanted, ["doc", "line"])
+    sets = _sets(_lines(near), rarity).select(F.col("doc_id").alias("doc"), "line", "words").join(wanted, ["doc", "line"])
     sets = stored(spark, sets.dropDuplicates(["doc", "line"]), "sets")
     both = pairs.join(sets.withColumnRenamed("words", "a"), ["doc", "line"]).join(
         sets.toDF("to_doc", "to_line", "b"), ["to_doc", "to_line"]
@@ -146,11 +152,18 @@ def _similar(spark: SparkSession, classes: DataFrame, docs: DataFrame, rarity: s
         pairs = some if pairs is None else pairs.union(some)
     settled = _verified(spark, pairs, docs, rarity, t).select("doc", "line").distinct()
     settled = stored(spark, settled, "settled")
-    placed = classes.join(settled.withColumn("settled", F.lit(True)), ["doc", "line"], "left").select(
-        *columns, F.coalesce("settled", F.lit(False)).alias("settled"), F.posexplode("prefix").alias("i", "word")
+    maybe = _maybe(settled.select(F.xxhash64("doc", "line").alias("place")), "place", F.xxhash64("doc", "line"))
+    wide = classes.select(*columns, "prefix")
+    some = wide.filter(maybe).join(settled.withColumn("settled", F.lit(True)), ["doc", "line"], "left")
+    every = some.union(wide.filter(~maybe).withColumn("settled", F.lit(None).cast("boolean")).select(*some.columns))
+    placed = every.select(
+        *columns, F.coalesce("settled", F.lit(False)).cast("int").alias("settled"), F.posexplode("prefix").alias("i", "word")
     )
-    x, y = placed.alias("x"), placed.alias("y")
-    met = x.join(y, (F.col("x.word") == F.col("y.word")) & ~F.col("x.settled") & _possible(t, True))
+    # few and narrow columns in the largest shuffle; both sides of it are alike and share it
+    packed = placed.select("word", "doc", "line", "s0", "s1", F.expr("(n * 2L + settled) * 2147483648L + i").alias("p"))
+    x, y = packed.alias("x"), packed.alias("y")
+    unsettled = F.expr("not (pmod(shiftright(x.p, 31), 2) = 1 and y.p >= 0)")
+    met = x.join(y, (F.col("x.word") == F.col("y.word")) & unsettled & _possible(t, True))
     pairs = met.select("x.doc", "x.line", F.col("y.doc").alias("to_doc"), F.col("y.line").alias("to_line"))
     more = _verified(spark, pairs, docs, rarity, t).select("doc", "line")
     return settled.union(more).distinct()
@@ -167,14 +180,12 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     marked = classes.join(gone.withColumn("gone", F.lit(True)), ["doc", "line"], "left").filter(
         "copies > 1 or gone"
     )
-    marked = stored(spark, marked.select("key", "n", "copies", F.col("doc").alias("first_doc"), F.col("line").alias("first_line"), "gone"), "marked")
-    # equal keys of different sets are told apart by their first places' sizes
-    weight = marked.groupBy("key").agg(F.sum("copies").alias("copies"), F.collect_list(F.struct("n", "first_doc", "first_line", "gone")).alias("of"))
-    keyed = sets.select("doc_id", "line", F.xxhash64("words").alias("key"), F.size("words").alias("n"))
-    held = lookup(keyed, stored(spark, weight, "weight"), "key", "copies").filter("of is not null")
-    of = F.filter("of", lambda c: c["n"] == F.col("n"))[0]
-    first = (F.col("doc_id") == of["first_doc"]) & (F.col("line") == of["first_line"])
-    removed = held.filter(of.isNotNull() & (F.coalesce(of["gone"], F.lit(False)) | ~first))
+    first = (F.col("doc").alias("first_doc"), F.col("line").alias("first_line"))
+    marked = stored(spark, marked.select("key", "copies", *first, "gone"), "marked")
+    keyed = lines.select("doc_id", "line", "key")
+    held = lookup(keyed, marked, "key", "copies").filter("first_doc is not null")
+    first = (F.col("doc_id") == F.col("first_doc")) & (F.col("line") == F.col("first_line"))
+    removed = held.filter(F.coalesce("gone", F.lit(False)) | ~first)
     return removed.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
