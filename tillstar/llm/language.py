@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.llm.common import stored
+
 #: The classifier is fitted on at most so many texts of each language, of which so many in all
 #: are landmarks.
 PER_LANGUAGE, LANDMARKS = 1000, 160
@@ -94,16 +96,15 @@ def train(labelled: DataFrame) -> Model:
     Of a language's texts those with the smallest hashes are taken, so the fit is on at most
     PER_LANGUAGE texts for each language; copies of a text count once.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (
-        labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select("lang", "text")
-        .withColumn("at", F.dense_rank().over(order))
-        .filter(F.col("at") <= PER_LANGUAGE)
-        .select("lang", "text", "at")
-    )
+    usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    usable = usable.select("lang", "text", F.xxhash64("text").alias("h"))
+    # hashes alone are ranked; each task sends no more of them than are wanted
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = usable.select("lang", "h").distinct().withColumn("at", F.row_number().over(order))
+    chosen = F.broadcast(chosen.filter(F.col("at") <= PER_LANGUAGE))
+    sample = usable.join(chosen, ["lang", "h"]).select("lang", "text", "at")
     spark = labelled.sparkSession
-    sample = sample.dropDuplicates(["lang", "at"])
+    sample = stored(spark, sample.dropDuplicates(["lang", "at"]), "sample")
     languages = sorted({r[0] for r in sample.select("lang").distinct().collect()})
     if not languages:
         return Model([], np.zeros((0, FEATURES), np.float32), np.zeros((0, 0)))
