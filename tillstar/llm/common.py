@@ -18,6 +18,8 @@ from tillstar.sinks.warehouse import scratch
 # A share of all rows that makes a key hot. Fewer keys than this can be hot, so a table of
 # hot keys has a proven bound.
 HOT_SHARE = 1000
+#: Bits of a filter that spares rows a shuffle.
+FILTER_BITS = 1 << 20
 
 
 _shipped: set[str] = set()
@@ -99,3 +101,16 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFram
     return left.join(heavy, key, "inner").unionByName(
         left.join(heavy.select(key), key, "left_anti").join(light, key, "left")
     )
+
+
+def may_be_in(ids: DataFrame, key: str, of: Column | None = None) -> Column:
+    """Whether `of` (by default doc_id) may be among these: a filter of fixed size, without
+    false negatives."""
+    at = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).cast("int")
+    bits = bytearray(FILTER_BITS // 8)
+    for (bit,) in ids.select(at).distinct().collect():
+        bits[bit >> 3] |= 1 << (bit & 7)
+    at = F.pmod(F.xxhash64(F.col("doc_id") if of is None else of), F.lit(FILTER_BITS)).cast("int")
+    byte = F.substring(F.lit(bytes(bits)), F.shiftright(at, 3) + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.coalesce(value.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0, F.lit(False))

@@ -18,13 +18,11 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import lookup, stored
+from tillstar.llm.common import lookup, may_be_in, stored
 
 SIMILARITY = 0.8
 #: Counts by hashed word: a table of fixed size, whatever the corpus.
 BUCKETS = 1 << 16
-#: Bits of a filter that spares rows a shuffle.
-FILTER_BITS = 1 << 20
 #: Rounds in which each class meets the first one with the same least hash of its words.
 ROUNDS = 2
 #: An order of the words for each round, by the hash bits of their codes.
@@ -109,24 +107,11 @@ def _possible(t: int, position: bool) -> Column:
     return F.expr(" and ".join(tests))
 
 
-def _maybe(ids: DataFrame, key: str, of: Column | None = None) -> Column:
-    """Whether `of` (by default doc_id) may be among these: a filter of fixed size, without
-    false negatives."""
-    at = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).cast("int")
-    bits = bytearray(FILTER_BITS // 8)
-    for (bit,) in ids.select(at).distinct().collect():
-        bits[bit >> 3] |= 1 << (bit & 7)
-    at = F.pmod(F.xxhash64(F.col("doc_id") if of is None else of), F.lit(FILTER_BITS)).cast("int")
-    byte = F.substring(F.lit(bytes(bits)), F.shiftright(at, 3) + 1, F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("int")
-    return F.coalesce(value.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0, F.lit(False))
-
-
 def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, rarity: str, t: int) -> DataFrame:
     """Of the pairs (doc, line, to_doc, to_line) those whose full sets are similar; stored."""
     pairs = stored(spark, pairs.distinct(), "pairs")
     wanted = pairs.select("doc", "line").union(pairs.select("to_doc", "to_line")).distinct()
-    near = docs.filter(_maybe(wanted, "doc"))
+    near = docs.filter(may_be_in(wanted, "doc"))
     sets = _sets(_lines(near), rarity).select(F.col("doc_id").alias("doc"), "line", "words").join(wanted, ["doc", "line"])
     sets = stored(spark, sets.dropDuplicates(["doc", "line"]), "sets")
     both = pairs.join(sets.withColumnRenamed("words", "a"), ["doc", "line"]).join(
@@ -152,7 +137,7 @@ def _similar(spark: SparkSession, classes: DataFrame, docs: DataFrame, rarity: s
         pairs = some if pairs is None else pairs.union(some)
     settled = _verified(spark, pairs, docs, rarity, t).select("doc", "line").distinct()
     settled = stored(spark, settled, "settled")
-    maybe = _maybe(settled.select(F.xxhash64("doc", "line").alias("place")), "place", F.xxhash64("doc", "line"))
+    maybe = may_be_in(settled.select(F.xxhash64("doc", "line").alias("place")), "place", F.xxhash64("doc", "line"))
     wide = classes.select(*columns, "prefix")
     some = wide.filter(maybe).join(settled.withColumn("settled", F.lit(True)), ["doc", "line"], "left")
     every = some.union(wide.filter(~maybe).withColumn("settled", F.lit(None).cast("boolean")).select(*some.columns))
@@ -201,7 +186,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, removed: str |
     spark = docs.sparkSession
     gone = stored(spark, repeated_lines(docs, similarity), "gone")
     column = removed or "_removed_lines"
-    touched = _maybe(gone, "doc_id") & F.col("doc_id").isNotNull()
+    touched = may_be_in(gone, "doc_id") & F.col("doc_id").isNotNull()
     some = docs.filter(touched).join(gone.withColumnRenamed("lines", column), "doc_id", "left")
     kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.col(column), i))
     some = some.withColumn("text", F.when(F.col(column).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))

@@ -17,13 +17,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import as_bytes, lookup, mix64, stored, words
+from tillstar.llm.common import as_bytes, lookup, may_be_in, mix64, stored, words
 
 #: Independent trees and levels: a pair at similarity 0.8 parts in all trees' first level with a
 #: probability of 0.2 ** 8. One minwise token for each level of each tree.
 TREES, LEVELS = 8, 6
 TOKENS = TREES * LEVELS
-#: Nodes up to this size are compared exhaustively; pairs of one key that one task compares.
+#: Nodes up to this size are compared exhaustively; documents of a block of a larger one.
 SMALL, PAIRS = 48, 1000
 CACHED = 300_000
 
@@ -111,15 +111,14 @@ class _Join:
         left = sig.toDF("a", "n_a", "sig_a")
         right = sig.toDF("b", "n_b", "sig_b")
         pairs = stored(self.spark, pairs.distinct(), "pairs")
-        close = self._meet(self._meet(pairs, left, "a"), right, "b").filter(
+        # both sides are plain tables, so adaptive execution splits a key with many pairs
+        close = pairs.join(left, "a").join(right, "b").filter(
             (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
             & (_matches("sig_a", "sig_b") >= least_matches(self.percent))
         )
         close = stored(self.spark, close.select("a", "b"), "close")
         sets = self._sets(close)
-        both = self._meet(
-            self._meet(close, sets.toDF("a", "set_a"), "a"), sets.toDF("b", "set_b"), "b"
-        )
+        both = close.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         percent = self.percent
 
         def check(batches):
@@ -135,19 +134,6 @@ class _Join:
         self.links.append(stored(self.spark, links, "links"))
         return self.links[-1]
 
-    def _meet(self, pairs: DataFrame, table: DataFrame, key: str) -> DataFrame:
-        """pairs JOIN table on key; a key with many pairs is split, and its row repeated."""
-        parts = pairs.groupBy(key).count().filter(F.col("count") > PAIRS)
-        parts = parts.select(key, F.ceil(F.col("count") / PAIRS).cast("int").alias("parts"), "count")
-        parts = stored(self.spark, parts, "parts")
-        other = "b" if key == "a" else "a"
-        split = lookup(pairs, parts, key, "count").drop("count")
-        split = split.withColumn("part", F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0)).cast("int"))
-        table = table.join(parts.drop("count"), key, "left").withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
-        )
-        return split.drop("parts").join(table.drop("parts"), [key, "part"]).drop("part")
-
     def _sets(self, pairs: DataFrame) -> DataFrame:
         """The full sets of the classes in these pairs, from the texts."""
         wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -159,7 +145,9 @@ class _Join:
                 yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], ["id", "set"])
 
         kind = self.docs.schema["doc_id"].dataType.simpleString()
-        texts = self.docs.select("doc_id", "text").join(wanted, "doc_id")
+        wanted = stored(self.spark, wanted, "wanted")
+        texts = self.docs.select("doc_id", "text").filter(may_be_in(wanted, "doc_id"))
+        texts = texts.join(wanted, "doc_id")
         return stored(self.spark, texts.mapInArrow(gather, f"id {kind}, set binary"), "sets")
 
     def run(self) -> DataFrame:

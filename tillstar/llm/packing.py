@@ -23,8 +23,8 @@ from tokenizers import Tokenizer
 
 from tillstar.llm.common import stored
 
-#: Entries of a worker's cache of encoded chunks; longer chunks are not kept.
-CACHED, LONGEST_CACHED = 400_000, 64
+#: Entries of one generation of a worker's cache of encoded chunks; longer chunks are not kept.
+CACHED, LONGEST_CACHED = 300_000, 64
 #: Pieces that share a rank bucket, about, and the fewest buckets.
 PER_BUCKET, BUCKETS = 20_000, 64
 
@@ -37,13 +37,33 @@ _CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
 _encoders: dict[str, "Encoder"] = {}
 
 
+class _Cache(dict):
+    """Two generations: when the newer is full it becomes the older, and what is still used
+    moves up from there. So frequent chunks are never encoded again."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older[chunk]
+        self[chunk] = ids
+        return ids
+
+    def keep(self, new: dict[str, bytes]) -> None:
+        if len(self) + len(new) > CACHED:
+            self.older = dict(self)
+            self.clear()
+        self.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST_CACHED)
+
+
 class Encoder:
     """Token ids of texts, by chunks that are encoded once and kept."""
 
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Cache()
 
     @staticmethod
     def of(file: str) -> "Encoder":
@@ -64,14 +84,12 @@ class Encoder:
                 yield self._with_misses(chunks)
 
     def _with_misses(self, chunks: list[str]) -> bytes:
-        cache = self.cache
-        misses = list({c for c in chunks if c not in cache})
+        cache, older = self.cache, self.cache.older
+        misses = list({c for c in chunks if c not in cache and c not in older})
         found = zip(misses, self.tokenizer.encode_batch_fast(misses, add_special_tokens=False))
         new = {c: self._ids(e) for c, e in found}
-        out = b"".join([cache[c] if c in cache else new[c] for c in chunks])
-        if len(cache) + len(new) > CACHED:
-            cache.clear()
-        cache.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST_CACHED)
+        out = b"".join([new[c] if c in new else cache[c] for c in chunks])
+        cache.keep(new)
         return out
 
     @staticmethod
