@@ -30,6 +30,8 @@ ROUNDS, FREQUENT = 4, 1 << 18
 #: Tokens counted together in a task, and a worker's cache of word ids.
 CHUNK, CACHED = 1 << 21, 300_000
 END = 0  # its word id, unit and class
+#: Columns that scoring adds.
+RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 class _Ids(dict):
@@ -240,13 +242,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs without text, with n_tokens, n_known, train_tokens, base_score and score.
 
     Every row is scored by its whole text; a null or empty text is the end alone. base_score is
-    that of single words with add-one smoothing; both are log10 probabilities.
+    that of single words with add-one smoothing; both are log10 probabilities. Columns of docs
+    that bear a result's name give way to it; any others are kept, whatever their names.
     """
     spark = docs.sparkSession
     counts = model.counts
     model = Model(**{**vars(model), "counts": None})
     shared = spark.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c != "text"]
+    given = [c for c in docs.columns if c.lower() not in ("text", *RESULTS)]
+    rest = [f"given_{i}" for i in range(len(given))]
     sums = ["n_tokens", "known", "base", "part"]
 
     def read(batches):
@@ -279,7 +283,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 ["row", *rest, *sums, "rare", "times"],
             )
 
-    numbered = docs.withColumn("row", F.monotonically_increasing_id()).select("row", *rest, "text")
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), *(docs[c].alias(r) for c, r in zip(given, rest)), "text"
+    )
     schema = numbered.drop("text").selectExpr(
         "*", "0L n_tokens", "0L known", "0D base", "0D part", "array(0L) rare", "array(0L) times"
     ).schema
@@ -297,7 +303,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     )
     log_total = float(np.log10(model.tokens + model.types + 1))
     return first.drop("rare", "times").join(met, "row", "left").select(
-        *rest,
+        *(F.col(r).alias(c) for c, r in zip(given, rest)),
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
