@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import as_bytes, lookup, may_be_in, mix64, stored, words
+from tillstar.llm.common import as_bytes, lookup, mix64, stored, words
 
 #: Independent trees and levels: a pair at similarity 0.8 parts in all trees' first level with a
 #: probability of 0.2 ** 8. One minwise token for each level of each tree.
@@ -117,6 +117,8 @@ class _Join:
             & (_matches("sig_a", "sig_b") >= least_matches(self.percent))
         )
         close = stored(self.spark, close.select("a", "b"), "close")
+        if close.isEmpty():
+            return close
         sets = self._sets(close)
         both = close.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         percent = self.percent
@@ -135,7 +137,11 @@ class _Join:
         return self.links[-1]
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
-        """The full sets of the classes in these pairs, from the texts."""
+        """The full sets of the classes in these pairs, from the texts.
+
+        The wanted ids are a stored table, so Spark knows its size: while it is small it is
+        broadcast and only texts of these ids go on; beyond that the ids and texts are shuffled.
+        """
         wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
         width = self.width
 
@@ -146,8 +152,7 @@ class _Join:
 
         kind = self.docs.schema["doc_id"].dataType.simpleString()
         wanted = stored(self.spark, wanted, "wanted")
-        texts = self.docs.select("doc_id", "text").filter(may_be_in(wanted, "doc_id"))
-        texts = texts.join(wanted, "doc_id")
+        texts = self.docs.select("doc_id", "text").join(wanted, "doc_id")
         return stored(self.spark, texts.mapInArrow(gather, f"id {kind}, set binary"), "sets")
 
     def run(self) -> DataFrame:
@@ -159,6 +164,8 @@ class _Join:
             rows = self._level(rows, level)
             if rows is None:
                 break
+        if not self.links:
+            return self.classes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
         out = self.links[0]
         for more in self.links[1:]:
             out = out.union(more)
@@ -173,8 +180,6 @@ class _Join:
         held = lookup(dealt.drop("sig"), nodes, "node", "size").filter("size is not null")
         held = stored(self.spark, held, "held")
         if held.isEmpty():
-            if not self.links:
-                self.links.append(held.select(F.col("id").alias("a"), F.col("id").alias("b")))
             return None
         star = held.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
         linked = self.confirm(star).select(F.col("a").alias("first"), F.col("b").alias("id"), F.lit(True).alias("linked"))
