@@ -169,8 +169,9 @@ def test_a_torn_row_stops_the_load(spark, tmp_path, split, torn):
     (tmp_path / "o.csv").write_text(f"a,b,c,d,e\n1,p,view,1/1/2024 8:00,\n{torn}\n")
     path = str(tmp_path / "o.csv")
     rows = extracts.read_orders_raw(spark, path, line_breaks_in_fields=not split)
-    with pytest.raises(Exception, match="MALFORMED"):
-        rows.collect()
+    for read in (rows, rows.select(rows.columns[0]), rows.groupBy().count()):
+        with pytest.raises(Exception, match="MALFORMED"):
+            read.collect()
 
 
 def test_build_over_tables_of_another_session(spark, tmp_path):
@@ -203,6 +204,14 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert first.root.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_every_row_is_shown(spark, capsys):
+    from tillstar.__main__ import _show
+
+    _show({"months": spark.range(80)}, spark.sql("SELECT 'm' AS metric, null AS value"))
+    lines = capsys.readouterr().out.splitlines()
+    assert lines == ["months", "id", *map(str, range(80)), "dq_summary", "metric\tvalue", "m\t"]
+
+
 def test_command_line(spark, restored_settings, tmp_path, capsys):
     from tillstar.__main__ import main
 

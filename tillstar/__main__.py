@@ -35,9 +35,12 @@ def _parse(args: list[str] | None) -> argparse.Namespace:
 
 
 def _show(answers: dict[str, DataFrame], checks: DataFrame) -> None:
+    """Print every row of each frame, tab-separated, a partition at a time."""
     for name, df in (answers | {"dq_summary": checks}).items():
         print(name)
-        df.show(50, truncate=False)
+        print("\t".join(df.columns))
+        for row in df.toLocalIterator():
+            print("\t".join("" if value is None else str(value) for value in row))
 
 
 def main(args: list[str] | None = None) -> None:

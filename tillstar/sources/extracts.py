@@ -20,7 +20,7 @@ def read_extract(
     A quoted field may hold line breaks, so by default a file is never split: one task
     reads one file, and a big extract should be a folder of many files. For an
     extract known to have no such fields, line_breaks_in_fields=False lets Spark split
-    files. A row with the wrong number of columns stops the job.
+    files. A row with the wrong number of columns stops the job, whichever columns it reads.
     """
     return (
         spark.read.schema(schema)
@@ -30,6 +30,7 @@ def read_extract(
         .option("escape", '"')
         .option("multiLine", line_breaks_in_fields)
         .option("mode", "FAILFAST")
+        .option("columnPruning", False)  # a pruned read would not see that a row is torn
         .csv(path)
     )
 
