@@ -51,6 +51,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(spark: SparkSession, df: DataFrame, name: str = "step") -> DataFrame:
     """df written to a new folder that all executors share, and read again: cuts the lineage."""
+    ship(spark)
     return scratch(spark).write(df, name)
 
 
@@ -114,3 +115,26 @@ def may_be_in(ids: DataFrame, key: str, of: Column | None = None) -> Column:
     byte = F.substring(F.lit(bytes(bits)), F.shiftright(at, 3) + 1, F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")
     return F.coalesce(value.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0, F.lit(False))
+
+
+def row_sums(partials: DataFrame) -> dict[int, np.ndarray]:
+    """Sums of partial matrices: rows (slot int, v array<double>) added up slot by slot.
+
+    The slots are dealt over the tasks, and a task keeps one sum for each slot it gets, however
+    many parts there are. The driver receives the finished sums only.
+    """
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for slot, v in zip(batch["slot"].to_pylist(), batch["v"]):
+                part = v.values.to_numpy(zero_copy_only=False)
+                sums[slot] = sums[slot] + part if slot in sums else part.copy()
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int32()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
+                ["slot", "v"],
+            )
+
+    dealt = partials.repartition("slot").mapInArrow(add, "slot int, v array<double>")
+    return {slot: np.array(v) for slot, v in dealt.collect()}
