@@ -108,8 +108,15 @@ EVENTS = [
     # a gap of the session zone has no effect
     ("12/03/2023 2:30", "2023-03-12 02:30:00", "2023-03-12", "2023-03-12 02:30:00+00"),
     ("31/12/1969 23:00", "1969-12-31 22:00:00", "1969-12-31", "1969-12-31 23:00:00+01"),
+    # what follows the minute is ignored; time and minute may be missing
+    ("1/1/2023 8:00:30", "2023-01-01 08:00:00", "2023-01-01", "2023-01-01 08:00:00+00"),
+    ("1/1/2023 8:05 (till\n9)", "2023-01-01 08:05:00", "2023-01-01", "2023-01-01 08:05:00+00"),
+    ("15/7/2023", "2023-07-14 23:00:00", "2023-07-15", "2023-07-15 00:00:00+01"),
+    ("15-7-2023  8", "2023-07-15 07:00:00", "2023-07-15", "2023-07-15 08:00:00+01"),
+    ("15.7.2023 8:", "2023-07-15 07:00:00", "2023-07-15", "2023-07-15 08:00:00+01"),
 ]
-NOT_EVENTS = ["31/02/2023 8:00", "", None, "1/13/2023 8:00", "1/1/23 8:00", "1/1/2023 8:00:30"]
+NOT_EVENTS = ["31/02/2023 8:00", "", None, "1/13/2023 8:00", "1/1/23 8:00", "1/1/2023 24:00"]
+NOT_EVENTS += ["1/1/2023 at noon", "1/1/2023x", "1/1/2023 8:60", "1/1/2023 8pm", "on 1/1/2023", "1/1/20233"]
 
 
 def test_event_times(spark):

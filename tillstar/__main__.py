@@ -26,6 +26,7 @@ def _parse(args: list[str] | None) -> argparse.Namespace:
     build.add_argument("root", help="folder for the tables")
     build.add_argument("--zone", default=clock.LONDON, help="zone of the event times")
     build.add_argument("--on-duplicate", choices=["raise", "report"], default="raise")
+    build.add_argument("--on-bad-row", choices=["raise", "report"], default="raise")
     report = commands.add_parser("report", help="answers and quality checks")
     report.add_argument("root")
     export = commands.add_parser("export", help="CSV snapshots")
@@ -48,9 +49,14 @@ def main(args: list[str] | None = None) -> None:
     spark = session()
     if options.command == "build":
         built = jobs.build(
-            spark, options.source, options.root, options.zone, options.on_duplicate
+            spark,
+            options.source,
+            options.root,
+            options.zone,
+            options.on_duplicate,
+            options.on_bad_row,
         )
-        _show(built.analysis, built.quality)
+        _show(built.analysis | {"stage_losses": built.losses}, built.quality)
         return
     tables = jobs.stored_tables(Warehouse(spark, options.root))
     if options.command == "report":

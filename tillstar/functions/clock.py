@@ -6,8 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONDON = "Europe/London"
-# Fixed value: day/month/year hour:minute, one or two digits except year and minute.
-EVENT_FORMAT = "d/M/yyyy H:mm"
+# A leading day, month and year; then nothing, an hour, or an hour, a minute and
+# whatever text. Anything but letters and digits may stand between the numbers.
+_GAP = r"[^\p{L}\p{N}]"
+EVENT_PATTERN = (
+    rf"(?s)^([0-9]{{1,2}}){_GAP}+([0-9]{{1,2}}){_GAP}+([0-9]{{4}})"
+    rf"(?:{_GAP}*|{_GAP}+([0-9]{{1,2}})(?:{_GAP}*|{_GAP}+([0-9]{{1,2}}).*))$"
+)
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 _MICROSECOND = "interval '0.000001' second"
@@ -23,8 +28,11 @@ def utc_date(ts: Column) -> Column:
 
 
 def read_wall(text: Column) -> Column:
-    """Event text as if it were UTC; NULL when it is not a real date and time."""
-    return F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(EVENT_FORMAT + " X"))
+    """Event text as if it were UTC; NULL when it does not begin with a real date, or goes on
+    with something that is no time of day. Without a time it is midnight."""
+    usual = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit("d/M/yyyy H:mm X"))
+    rest = F.regexp_replace(text, EVENT_PATTERN, "$1/$2/$3 0$4:0$5 Z")
+    return F.coalesce(usual, F.try_to_timestamp(rest, F.lit("d/M/yyyy H:m X")))
 
 
 def with_instant(df: DataFrame, wall: str, name: str, tz: str = LONDON) -> DataFrame:

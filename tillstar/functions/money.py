@@ -20,10 +20,18 @@ TOTAL = "decimal(22,2)"
 RATIO = "decimal(18,2)"
 
 
+def _price_token(c: Column) -> Column:
+    return F.nullif(F.regexp_extract(c, PRICE_PATTERN, 1), F.lit(""))
+
+
 def first_price(c: Column) -> Column:
     """First price-like token as a decimal; no token or one too large is NULL."""
-    token = F.nullif(F.regexp_extract(c, PRICE_PATTERN, 1), F.lit(""))
-    return F.replace(token, F.lit(","), F.lit("")).try_cast(PRICE)
+    return F.replace(_price_token(c), F.lit(","), F.lit("")).try_cast(PRICE)
+
+
+def too_large_price(c: Column) -> Column:
+    """Whether the first price-like token is beyond what PRICE holds."""
+    return _price_token(c).isNotNull() & first_price(c).isNull()
 
 
 def is_bad_price(c: Column) -> Column:

@@ -27,6 +27,11 @@ def digits_to_int(c: Column) -> Column:
     return F.when(c.rlike(r"^[0-9]+\z"), c.try_cast("int"))
 
 
+def too_large_for_int(c: Column) -> Column:
+    """Digits-only text that INT can't hold."""
+    return c.rlike(r"^[0-9]+\z") & c.try_cast("int").isNull()
+
+
 def title_case(c: Column) -> Column:
     """Upper-case the first letter after every character that is no letter or digit.
 

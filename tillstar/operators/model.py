@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions import clock, domains, money
+from tillstar.operators import rejects
 from tillstar.operators.clean import purchases
 
 
@@ -79,6 +80,45 @@ def dim_customer(
     )
 
 
+def _lines(stg_orders: DataFrame, tz: str) -> DataFrame:
+    return purchases(stg_orders).select(
+        F.col("user_id").alias("customer_id"),
+        "product_id",
+        "event_ts",
+        F.from_utc_timestamp("event_ts", tz).alias("local_ts"),
+        F.col("event_date").alias("order_date"),
+    )
+
+
+def _prices(dim_product: DataFrame) -> DataFrame:
+    return dim_product.where(F.col("selling_price") > 0).select(
+        "product_id", F.col("selling_price").cast(money.PRICE).alias("unit_price")
+    )
+
+
+def _sale_columns() -> list[Column]:
+    stamp = clock.stamp_text(F.col("event_ts"), F.col("local_ts"))
+    key = F.concat_ws("::", F.col("customer_id").cast("string"), "product_id", stamp)
+    value = (F.col("quantity") * F.col("unit_price")).cast(money.LINE_VALUE)
+    nothing = F.lit(0).cast(money.PRICE)
+    return [
+        F.md5(key).alias("order_id"),
+        F.col("order_date"),
+        F.col("customer_id"),
+        F.col("product_id"),
+        F.col("quantity"),
+        F.col("unit_price"),
+        value.alias("gross_item_value"),
+        nothing.alias("discount_amount"),
+        nothing.alias("tax_amount"),
+        nothing.alias("shipping_fee"),
+        value.alias("net_revenue"),
+        F.col("region"),
+        F.col("payment_method"),
+        F.current_timestamp().alias("created_at"),
+    ]
+
+
 def fact_sales(
     stg_orders: DataFrame,
     dim_product: DataFrame,
@@ -92,45 +132,65 @@ def fact_sales(
     shuffles under both sides and AQE splits a hot product or customer, and Spark
     knows each table's real size when it decides on a broadcast.
     """
-    lines = purchases(stg_orders).select(
-        F.col("user_id").alias("customer_id"),
-        "product_id",
-        "event_ts",
-        F.from_utc_timestamp("event_ts", tz).alias("local_ts"),
-        F.col("event_date").alias("order_date"),
-    )
-    prices = dim_product.where(F.col("selling_price") > 0).select(
-        "product_id", F.col("selling_price").cast(money.PRICE).alias("unit_price")
-    )
     buyers = dim_customer.select("customer_id", "region", "payment_method")
     days = dim_calendar.select(F.col("date").alias("order_date"))
-
-    stamp = clock.stamp_text(F.col("event_ts"), F.col("local_ts"))
-    key = F.concat_ws("::", F.col("customer_id").cast("string"), "product_id", stamp)
-    value = (F.col("quantity") * F.col("unit_price")).cast(money.LINE_VALUE)
-    nothing = F.lit(0).cast(money.PRICE)
     return (
-        lines.join(days, "order_date", "left_semi")
-        .join(prices, "product_id")
+        _lines(stg_orders, tz)
+        .join(days, "order_date", "left_semi")
+        .join(_prices(dim_product), "product_id")
         .join(buyers, "customer_id")
         .withColumn("quantity", F.lit(1))
-        .select(
-            F.md5(key).alias("order_id"),
-            "order_date",
-            "customer_id",
-            "product_id",
-            "quantity",
-            "unit_price",
-            value.alias("gross_item_value"),
-            nothing.alias("discount_amount"),
-            nothing.alias("tax_amount"),
-            nothing.alias("shipping_fee"),
-            value.alias("net_revenue"),
-            "region",
-            "payment_method",
-            F.current_timestamp().alias("created_at"),
-        )
+        .select(_sale_columns())
+    )
+
+
+def judge_sales(
+    stg_orders: DataFrame,
+    stg_products: DataFrame,
+    dim_product: DataFrame,
+    dim_customer: DataFrame,
+    dim_calendar: DataFrame,
+    tz: str = clock.LONDON,
+) -> DataFrame:
+    """Every purchase as a fact row, with the reason why it can't be one and so has no order_id.
+
+    The rows without a reason are those of fact_sales, from the same joins as outer ones. Whether
+    an unpriced product is known at all, and whether a day is, comes from existence joins:
+    they never multiply a purchase.
+    """
+    buyers = dim_customer.select(
+        "customer_id", "region", "payment_method", F.lit(True).alias("_buyer")
+    )
+    joined = (
+        _lines(stg_orders, tz)
+        .join(_prices(dim_product), "product_id", "left")
+        .join(buyers, "customer_id", "left")
+        .withColumn("quantity", F.lit(1))
+    )
+    # spark.sql, as only SQL has IN over a query as a column
+    known = joined.sparkSession.sql(
+        """SELECT *, product_id IN (SELECT product_id FROM {products}) AS _listed,
+             order_date IN (SELECT date FROM {days}) AS _day FROM {joined}""",
+        joined=joined,
+        products=stg_products.select("product_id"),
+        days=dim_calendar.select("date"),
+    )
+    unpriced, product = F.col("unit_price").isNull(), F.col("product_id")
+    customer = F.col("customer_id").cast("string")
+    listed = F.coalesce(F.col("_listed"), F.lit(False))
+    reasons = rejects.first_reason(
+        (unpriced & ~listed, "unknown_product", product),
+        (unpriced, "no_price", product),
+        (F.col("_buyer").isNull(), "unknown_customer", customer),
+        (
+            ~F.coalesce(F.col("_day"), F.lit(False)),
+            "no_calendar_day",
+            F.col("order_date").cast("string"),
+        ),
     )
+    judged = known.select(*_sale_columns(), *reasons)
+    # only a fact row has an id
+    return judged.withColumn("order_id", F.when(F.col(rejects.REASON).isNull(), F.col("order_id")))
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:

@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions import clock
-from tillstar.operators import clean, kpi, model, quality
+from tillstar.operators import clean, kpi, model, quality, rejects
 from tillstar.sinks.snapshots import export_all
 from tillstar.sinks.warehouse import Warehouse
 from tillstar.sources import extracts
 from tillstar.sources.regions import dim_region
 
 Tables = dict[str, DataFrame]
+Counted = dict[str, Observation]
 
 RAW = ("raw.customers_raw", "raw.products_raw", "raw.orders_raw")
 STAGING = ("stg.stg_customers", "stg.stg_products", "stg.stg_orders")
@@ -36,15 +37,30 @@ CORE = (
 )
 
 
-def stage(raw: Tables, wh: Warehouse, tz: str = clock.LONDON) -> Tables:
-    """Clean and store the three staging tables."""
-    return wh.write_all(
-        {
-            "stg.stg_customers": clean.clean_customers(raw["raw.customers_raw"]),
-            "stg.stg_products": clean.clean_products(raw["raw.products_raw"]),
-            "stg.stg_orders": clean.clean_orders(raw["raw.orders_raw"], tz),
-        }
-    )
+def judged_staging(raw: Tables, tz: str = clock.LONDON) -> Tables:
+    """Every raw row, typed, with the reason why it does not pass."""
+    return {
+        "stg.stg_customers": clean.judge_customers(raw["raw.customers_raw"]),
+        "stg.stg_products": clean.judge_products(raw["raw.products_raw"]),
+        "stg.stg_orders": clean.judge_orders(raw["raw.orders_raw"], tz),
+    }
+
+
+def stage(
+    raw: Tables,
+    wh: Warehouse,
+    tz: str = clock.LONDON,
+    on_bad_row: str = "report",
+    counted: Counted | None = None,
+) -> Tables:
+    """Clean and store the three staging tables. `counted` gets what the same jobs count of the
+    rows that do not pass."""
+    frames = {}
+    for name, judged in judged_staging(raw, tz).items():
+        if counted is not None:
+            judged, counted[name] = rejects.observed(judged, name)
+        frames[name] = rejects.passing(rejects.stopping(judged, on_bad_row), name)
+    return wh.write_all(frames)
 
 
 def helpers(stg: Tables, wh: Warehouse) -> Tables:
@@ -84,6 +100,18 @@ def fact(tables: Tables, tz: str = clock.LONDON) -> DataFrame:
     )
 
 
+def judged_fact(tables: Tables, tz: str = clock.LONDON) -> DataFrame:
+    """Every purchase as a fact row, with the reason why it can't be one."""
+    return model.judge_sales(
+        tables["stg.stg_orders"],
+        tables["stg.stg_products"],
+        tables["core.dim_product"],
+        tables["core.dim_customer"],
+        tables["core.dim_calendar"],
+        tz,
+    )
+
+
 def star(raw: Tables, wh: Warehouse, tz: str = clock.LONDON) -> Tables:
     """Raw tables to stored staging, dimensions and fact, without key checks."""
     tables = {**raw, **stage(raw, wh, tz)}
@@ -153,11 +181,13 @@ def stored_tables(wh: Warehouse) -> Tables:
 
 @dataclass
 class Build:
-    """What a build leaves: stored tables, lazy answers and the quality report."""
+    """What a build leaves: stored tables, lazy answers, the quality report, and how many rows
+    each step lost for which reason."""
 
     tables: Tables
     analysis: Tables
     quality: DataFrame
+    losses: DataFrame
 
 
 def land(spark: SparkSession, src: str, wh: Warehouse, **read_options) -> Tables:
@@ -183,16 +213,19 @@ def build(
     root: str,
     tz: str = clock.LONDON,
     on_duplicate: str = "raise",
+    on_bad_row: str = "raise",
     **read_options,
 ) -> Build:
     """Run the whole chain from the extracts in `src` to tables under `root`.
 
     The first failing step stops it. A table whose key is NULL or repeated is a
-    failure too, unless on_duplicate="report" leaves that to the quality report.
+    failure too, unless on_duplicate="report" leaves that to the quality report. So is a value
+    that can't be read (rejects.STOPPING), unless on_bad_row="report" leaves that to `losses`.
     """
     wh = Warehouse(spark, root, catalog=True)
     tables = land(spark, src, wh, **read_options)
-    tables |= stage(tables, wh, tz)
+    counted: Counted = {}
+    tables |= stage(tables, wh, tz, on_bad_row, counted)
     tables |= helpers(tables, wh) | dimensions(tables, wh)
     keys = {
         "core.dim_region": "state_name",
@@ -202,8 +235,11 @@ def build(
     }
     for name, key in keys.items():
         model.assert_key(tables[name], key, on_duplicate=on_duplicate)
-    tables["core.fact_sales"] = wh.write(fact(tables, tz), "core.fact_sales")
+    name = "core.fact_sales"
+    judged, counted[name] = rejects.observed(judged_fact(tables, tz), name)
+    tables[name] = wh.write(rejects.passing(judged, name), name)
     model.assert_key(tables["core.fact_sales"], "order_id", on_duplicate=on_duplicate)
     wh.require(*CORE)
     register_views(tables)
-    return Build(tables, analysis(tables), quality.dq_summary(tables))
+    losses = rejects.losses_of(spark, counted)
+    return Build(tables, analysis(tables), quality.dq_summary(tables), losses)

@@ -5,6 +5,7 @@ Money is compared in whole cents with integer arithmetic, so no rounding can dif
 
 from __future__ import annotations
 
+from tillstar.functions.clock import EVENT_PATTERN
 from tillstar.functions.money import PRICE_PATTERN
 from tillstar.sources import driver_tables
 from tillstar.sources.regions import region_values
@@ -24,7 +25,7 @@ customer_text AS (
   FROM customers_raw
 ),
 stg_customers AS (
-  SELECT CAST(id AS INTEGER) AS customer_id,
+  SELECT try_cast(id AS INTEGER) AS customer_id,
     CASE WHEN try_cast(age AS INTEGER) BETWEEN 13 AND 100 THEN CAST(age AS INTEGER) END AS age,
     CASE left(sex, 1) WHEN 'm' THEN 'male' WHEN 'f' THEN 'female'
       ELSE if(sex IN ('', 'na', 'n/a', 'unknown'), 'unknown', 'other') END AS gender,
@@ -37,7 +38,7 @@ stg_customers AS (
       'no': 'no', 'n': 'no', 'false': 'no', '0': 'no'}[sub] AS subscription_status,
     try_cast(prev AS INTEGER) AS previous_purchases
   FROM customer_text
-  WHERE regexp_full_match(id, '[0-9]+')
+  WHERE regexp_full_match(id, '[0-9]+') AND try_cast(id AS INTEGER) IS NOT NULL
 ),
 stg_products AS (
   SELECT trim(product_id) AS product_id, trim(product_name) AS product_name,
@@ -51,15 +52,24 @@ stg_products AS (
   FROM products_raw
   WHERE trim(product_id) <> ''
 ),
+order_text AS (
+  SELECT trim(user_id) AS id, trim(product_id) AS product_id, lower(trim(interaction_type)) AS interaction_type,
+    trim(event_ts) AS said, regexp_extract(trim(event_ts), '%(time)s', ['d', 'm', 'y', 'h', 'i'], 's') AS t
+  FROM orders_raw
+),
+order_typed AS (
+  SELECT *, CASE WHEN regexp_full_match(id, '[0-9]+') THEN try_cast(id AS INTEGER) END AS user_id,
+    try_strptime(concat_ws(' ', t.d, t.m, t.y, if(t.h = '', '0', t.h), if(t.i = '', '0', t.i)), '%%d %%m %%Y %%H %%M') AS wall
+  FROM order_text
+),
 stg_orders AS (
-  SELECT CAST(trim(user_id) AS INTEGER) AS user_id, trim(product_id) AS product_id,
-    lower(trim(interaction_type)) AS interaction_type,
+  SELECT user_id, product_id, interaction_type,
     timezone('UTC', timezone('Europe/London', wall)) AS event_ts,
     CAST(timezone('Europe/London', timezone('Europe/London', wall)) AS DATE) AS event_date,
     CAST(year(wall) = 2024 AS INTEGER) AS in_2024
-  FROM (SELECT *, try_strptime(trim(event_ts), '%%d/%%m/%%Y %%H:%%M') AS wall FROM orders_raw)
-  WHERE regexp_full_match(trim(user_id), '[0-9]+') AND trim(product_id) <> '' AND wall IS NOT NULL
-    AND lower(trim(interaction_type)) IN ('purchase', 'view', 'like')
+  FROM order_typed
+  WHERE user_id IS NOT NULL AND product_id <> '' AND wall IS NOT NULL
+    AND interaction_type IN ('purchase', 'view', 'like')
 ),
 orders_2024 AS (SELECT * FROM stg_orders WHERE in_2024 = 1),
 bad_price AS (SELECT * FROM stg_products WHERE coalesce(selling_price, 0) <= 0),
@@ -113,6 +123,7 @@ fact_sales AS (
     "orders": driver_tables.ORDERS_RAW.format(**_BARE),
     "regions": region_values(),
     "price": PRICE_PATTERN,
+    "time": EVENT_PATTERN.removeprefix("(?s)"),
 }
 
 _SALES = """
@@ -272,6 +283,62 @@ _ROW_METRICS = {
 _SUMMARY = f"""SELECT metric, CAST(n AS VARCHAR) AS value, (n > 0) = starts_with(metric, 'rows_') AS pass
 FROM ({_counts(_ROW_METRICS | _UNIQUE | _REFERENCES | _DOMAIN | _TEMPORAL, "metric", "n")})"""
 
+_TOO_LARGE = "regexp_full_match({0}, '[0-9]+') AND try_cast({0} AS INTEGER) IS NULL"
+# the first test that a row fails names its reason
+_TESTS = {
+    "stg.stg_customers": (
+        "customer_text",
+        {
+            "no_customer_id": "NOT coalesce(regexp_full_match(id, '[0-9]+'), false)",
+            "customer_id_too_large": _TOO_LARGE.format("id"),
+            "age_too_large": _TOO_LARGE.format("age"),
+            "previous_purchases_too_large": _TOO_LARGE.format("prev"),
+        },
+    ),
+    "stg.stg_products": (
+        "products_raw",
+        {
+            "no_product_id": "trim(product_id) = ''",
+            "price_too_large": f"""try_cast(replace(nullif(regexp_extract(selling_price, '{PRICE_PATTERN}', 1), ''), ',', '')
+              AS DECIMAL(10,2)) IS NULL AND regexp_matches(selling_price, '{PRICE_PATTERN}')""",
+        },
+    ),
+    "stg.stg_orders": (
+        "order_typed",
+        {
+            "no_user_id": "NOT regexp_full_match(id, '[0-9]+')",
+            "user_id_too_large": "user_id IS NULL",
+            "no_product_id": "product_id = ''",
+            "no_interaction": "interaction_type NOT IN ('purchase', 'view', 'like')",
+            "no_event_time": "said = ''",
+            "bad_event_time": "wall IS NULL",
+        },
+    ),
+    "core.fact_sales": (
+        "stg_orders o",
+        {
+            "unknown_product": "o.product_id NOT IN (SELECT product_id FROM stg_products)",
+            "no_price": "o.product_id NOT IN (SELECT product_id FROM dim_product)",
+            "unknown_customer": "o.user_id NOT IN (SELECT customer_id FROM dim_customer)",
+            "no_calendar_day": "o.event_date NOT IN (SELECT date FROM dim_calendar)",
+        },
+    ),
+}
+
+
+def _losses() -> str:
+    parts = []
+    for step, (source, tests) in _TESTS.items():
+        cases = " ".join(f"WHEN {test} THEN '{reason}'" for reason, test in tests.items())
+        only = "WHERE interaction_type = 'purchase'" if step == "core.fact_sales" else ""
+        parts += [
+            f"SELECT '{step}' AS step, '{reason}' AS reason, count(*) FILTER (why = '{reason}') AS rows "
+            f"FROM (SELECT CASE {cases} END AS why FROM {source} {only})"
+            for reason in tests
+        ]
+    return " UNION ALL ".join(parts)
+
+
 _ORDER_TEXT = """user_id || '/' || product_id || '/'
   || strftime(timezone('Europe/London', timezone('UTC', event_ts)), '%Y-%m-%d %H:%M:%S')
   || if(timezone('Europe/London', timezone('UTC', event_ts)) = event_ts, '+00', '+01')"""
@@ -311,6 +378,7 @@ _ON_STAGING = {
     "dim_product": "FROM dim_product",
     "dim_customer": "FROM dim_customer",
     "fact_sales": "FROM fact_sales",
+    "stage_losses": _losses(),
     "stage_counts": _counts(_STAGES, "name", "rows"),
     "dq_row_counts": _counts({label: t for label, t in _COUNTED.items()}, "t", "n"),
     "dq_uniqueness": _counts(_UNIQUE, "check_name", "offenders"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions import clock
-from tillstar.operators import clean, feeds, kpi, model, quality
+from tillstar.operators import clean, feeds, kpi, model, quality, rejects
 from tillstar.plans import jobs
 from tillstar.sinks.snapshots import export_csv
 from tillstar.sinks.warehouse import scratch
@@ -74,6 +74,16 @@ def _fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.fact(stg | jobs.dimensions(stg, wh)).drop("created_at")
 
 
+def _stage_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows each step loses, and why. Staging is counted while it is written, as in a
+    build; the purchases that make no fact row are counted when the result is read."""
+    wh, counted = scratch(spark), {}
+    stg = jobs.stage(_raw(spark, sf_dir), wh, counted=counted)
+    tables = stg | jobs.dimensions(stg, wh)
+    sales = rejects.losses({"core.fact_sales": jobs.judged_fact(tables)})
+    return rejects.losses_of(spark, counted).unionAll(sales)
+
+
 def _on_star(build: Callable[[Tables], DataFrame], helpers: bool = False) -> Query:
     """A query over stored staging, dimensions and fact, on demand with helper tables."""
 
@@ -221,6 +231,7 @@ def queries() -> dict[str, Query]:
         "new_vs_repeat": new_vs_repeat,
         "fact_profile": _sales(quality.fact_profile),
         # quality
+        "stage_losses": _stage_losses,
         "stage_counts": _on_star(_stage_counts, helpers=True),
         "dq_row_counts": _on_star(quality.row_counts),
         "dq_uniqueness": _on_star(quality.uniqueness),

@@ -1,7 +1,9 @@
 """The given Parquet tables as inputs of this package.
 
 The SQL runs in Spark and in DuckDB; {names} stand for the tables. The raw texts come
-out messy on purpose: padded ids, mixed case, junk prices, impossible dates.
+out messy on purpose: padded ids, mixed case, junk prices, impossible dates, numbers that don't
+fit. What is planted is a share of the keys, and unknown ids lie beyond the largest known one,
+so the shares are the same at every size.
 """
 
 from __future__ import annotations
@@ -14,8 +16,8 @@ from tillstar.operators import model
 
 CUSTOMERS_RAW = """
 SELECT
-  CASE WHEN c_custkey % 101 = 100 THEN 'C-' || CAST(c_custkey AS STRING) ELSE ' ' || CAST(c_custkey AS STRING) || ' ' END AS customer_id,
-  CASE WHEN c_custkey % 53 = 52 THEN 'n.a.' ELSE CAST(c_custkey % 120 AS STRING) END AS age,
+  CASE WHEN c_custkey % 109 = 108 THEN '99999999999' WHEN c_custkey % 101 = 100 THEN 'C-' || CAST(c_custkey AS STRING) ELSE ' ' || CAST(c_custkey AS STRING) || ' ' END AS customer_id,
+  CASE WHEN c_custkey % 53 = 52 THEN 'n.a.' WHEN c_custkey % 61 = 60 THEN '30000000000' ELSE CAST(c_custkey % 120 AS STRING) END AS age,
   CASE c_custkey % 7 WHEN 0 THEN 'Male' WHEN 1 THEN ' female ' WHEN 2 THEN 'F' WHEN 3 THEN 'N/A' WHEN 4 THEN '' WHEN 5 THEN 'Nonbinary' ELSE 'm' END AS gender,
   CASE c_nationkey % 8 WHEN 0 THEN 'kentucky' WHEN 1 THEN ' New York ' WHEN 2 THEN 'OREGON' WHEN 3 THEN 'ohio' WHEN 4 THEN 'district of columbia' WHEN 5 THEN '' WHEN 6 THEN 'stratford-on-avon' ELSE 'texas' END AS location,
   CASE c_custkey % 8 WHEN 0 THEN 'Credit Card' WHEN 1 THEN 'debit card' WHEN 2 THEN 'PayPal' WHEN 3 THEN 'Bank Transfer' WHEN 4 THEN 'VENMO' WHEN 5 THEN ' cash ' WHEN 6 THEN 'Gift' ELSE '' END AS payment_method,
@@ -29,14 +31,14 @@ SELECT
   CASE WHEN p_partkey % 103 = 102 THEN '  ' ELSE CAST(p_partkey AS STRING) END AS product_id,
   ' ' || p_name || ' ' AS product_name,
   CASE p_partkey % 5 WHEN 0 THEN p_type || ' | ' || p_brand WHEN 1 THEN p_type || ' > ' || p_brand WHEN 2 THEN '' WHEN 3 THEN '| ' || p_brand ELSE p_type END AS product_category,
-  CASE p_partkey % 11
+  CASE WHEN p_partkey % 107 = 106 THEN '$123456789.00' ELSE CASE p_partkey % 11
     WHEN 0 THEN '$' || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING)
     WHEN 1 THEN 'Total price: $ ' || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING)
     WHEN 2 THEN CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING) || '249.99'
     WHEN 3 THEN '$' || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING) || ' - $999.99'
     WHEN 4 THEN '$1,' || lpad(CAST(p_partkey % 1000 AS STRING), 3, '0') || '.50'
     WHEN 5 THEN '$1,234' WHEN 6 THEN '' WHEN 7 THEN 'N/A' WHEN 8 THEN '0.00' WHEN 9 THEN '-5.00'
-    ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING) END AS selling_price,
+    ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING) END END AS selling_price,
   p_brand AS brand_name,
   CASE WHEN p_size % 10 = 0 THEN '' ELSE CAST(p_size AS STRING) END AS model_number,
   'img/' || CAST(p_partkey AS STRING) AS image_url,
@@ -48,14 +50,26 @@ FROM {part}
 ORDERS_RAW = """
 SELECT
   CASE WHEN event_id % 97 = 0 THEN '' WHEN event_id % 89 = 0 THEN 'x' || CAST(user_id AS STRING)
-       WHEN event_id % 83 = 0 THEN CAST(user_id + 1000000 AS STRING) ELSE ' ' || CAST(user_id AS STRING) || ' ' END AS user_id,
-  CASE WHEN event_id % 79 = 0 THEN ' ' ELSE CAST(event_id % 2100 AS STRING) END AS product_id,
+       WHEN event_id % 101 = 0 THEN '4000000000'
+       WHEN event_id % 83 = 0 THEN CAST((SELECT max(c_custkey) FROM {customer}) + 1 + user_id % 1000 AS STRING)
+       ELSE ' ' || CAST(user_id AS STRING) || ' ' END AS user_id,
+  CASE WHEN event_id % 79 = 0 THEN ' '
+       WHEN event_id % 47 = 0 THEN CAST((SELECT max(p_partkey) FROM {part}) + 1 + event_id % 100 AS STRING)
+       ELSE CAST(event_id % (SELECT max(p_partkey) FROM {part}) AS STRING) END AS product_id,
   CASE WHEN event_id % 3 = 0 THEN upper(event_type) ELSE ' ' || event_type END AS interaction_type,
   CASE WHEN event_id % 73 = 0 THEN '' WHEN event_id % 71 = 0 THEN '31/02/2023 8:00'
-       ELSE CAST(day(d) AS STRING) || '/' || CAST(month(d) AS STRING) || '/' || CAST(year(d) AS STRING) || ' ' || CAST(hour(ts) AS STRING) || ':' || lpad(CAST(minute(ts) AS STRING), 2, '0') END AS event_ts
+       WHEN event_id % 67 = 0 THEN day_text || ' ' || hour_text || ':' || minute_text || ':59 (till 7)'
+       WHEN event_id % 59 = 0 THEN day_text
+       WHEN event_id % 43 = 0 THEN replace(day_text, '/', '-') || '  ' || hour_text
+       WHEN event_id % 41 = 0 THEN day_text || ' at noon'
+       ELSE day_text || ' ' || hour_text || ':' || minute_text END AS event_ts
 FROM (
-  SELECT event_id, user_id, event_type, ts, CAST(ts AS DATE) - CAST(CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id % 500 END AS INT) AS d
-  FROM {events}
+  SELECT *, CAST(day(d) AS STRING) || '/' || CAST(month(d) AS STRING) || '/' || CAST(year(d) AS STRING) AS day_text,
+    CAST(hour(ts) AS STRING) AS hour_text, lpad(CAST(minute(ts) AS STRING), 2, '0') AS minute_text
+  FROM (
+    SELECT event_id, user_id, event_type, ts, CAST(ts AS DATE) - CAST(CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id % 500 END AS INT) AS d
+    FROM {events}
+  ) e
 ) e
 """
 
