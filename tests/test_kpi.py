@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import FACT, day, make_fact, money, tuples
+from tillstar.operators.distinct import count_distinct, with_distinct
 from tillstar.operators import feeds, kpi, model, ranking
 
 PEOPLE = "customer_id int, region string, payment_method string"
@@ -235,3 +236,14 @@ def test_feeds(spark):
     numbers = feeds.ensure_numeric(messy, ["revenue", "missing"])
     assert tuples(numbers) == [(1.5, "a"), (None, "b")]
     assert [r.region for r in feeds.feed_sorted(messy).collect()] == ["a", "b"]
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "string"])
+def test_distinct_counts(spark, kind):
+    ids = [None, -5, 0, 1, 1, 32767, 32768, 32769, 2_000_000_000, 2_000_000_000]
+    df = spark.createDataFrame([(i,) for i in ids], "k long").select(F.col("k").cast(kind))
+    one = spark.range(1)
+    assert one.select(count_distinct(df, "k")).first()[0] == 7
+    assert one.select(count_distinct(df.limit(0), "k")).first()[0] == 0
+    totals = with_distinct(df, "k", "keys", {"n": (F.count(F.lit(1)), F.sum("n"))}).first()
+    assert (totals.keys, totals.n) == (7, 10)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import final_plan, initial_plan
-from tillstar.operators import clean, kpi, model, quality
+from tillstar.operators import clean, kpi, model, quality, skew
 from tillstar.plans import registry
 from tillstar.session import SETTINGS
 from tillstar.sinks.warehouse import scratch
@@ -117,11 +117,66 @@ def test_fact_reads_only_purchases_and_needed_columns(stored):
 
 def test_first_dates_meet_orders_over_salted_keys(stored, no_broadcast, small_skew):
     plan = final_plan(kpi.order_new_repeat(stored["core.fact_sales"]))
-    joined = re.findall(r"Exchange hashpartitioning\((customer_id#\w+, _salt#\w+),", plan)
-    assert len(joined) == 2
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    joined = [x for x in shuffles if re.search(r"Exchange hashpartitioning\(customer_id#\w+, _salt#\w+,", x)]
+    # the lines and the first dates; the minima are worked out on the lines' own shuffle
+    assert sum("Reused" not in x for x in joined) == 2
+    assert sum("Reused" in x for x in joined) == 1
     assert "Window" not in plan
 
 
+def test_new_or_repeat_works_the_fact_out_once(stored, no_broadcast):
+    fact = model.fact_sales(
+        stored["stg.stg_orders"],
+        stored["core.dim_product"],
+        stored["core.dim_customer"],
+        stored["core.dim_calendar"],
+    )
+    plan = final_plan(kpi.order_new_repeat(fact))
+    assert len(re.findall(r"FileScan parquet \[user_id", plan)) == 1
+    # salts go back to the customers that have them; nothing is copied for every salt
+    assert "explode(_salts" in plan and "sequence(" not in plan
+
+
+def test_a_hot_customer_is_spread(spark, stored, no_broadcast):
+    fact = stored["core.fact_sales"]
+    marked = kpi.order_new_repeat(fact)
+    assert marked.count() == 30_000
+    places = skew.salt(["order_id", "product_id", "order_date"])
+    spread = fact.where("customer_id = 1").groupBy(places).count().collect()
+    assert len(spread) == skew.SALTS and max(r["count"] for r in spread) < 2 * 10_000 / skew.SALTS
+
+
+def test_distinct_counts_expand_nothing(stored, no_broadcast):
+    for view in (kpi.kpi_headline, quality.fact_profile):
+        plan = final_plan(view(stored["core.fact_sales"]))
+        # but for the one row of figures, which becomes five
+        assert not re.search(r"Expand \[\[(?!fact_sales,)", plan)
+        assert "bitmap_construct_agg" in plan
+        # a row per range of ids, not per customer
+        assert not re.search(r"Exchange hashpartitioning\(customer_id#", plan)
+
+
+def test_only_hot_values_are_broadcast(spark, no_broadcast):
+    """A third of all customers have one value; the ranks of no other one are copied."""
+    rows = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("decimal(22,2)").alias("v"))
+    counted = rows.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("twice", F.col("v") * 2)
+    joined = skew.split_join(rows, counted, "v", "n", F.lit(9000), ["id"])
+    plan = final_plan(joined)
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" in plan
+    got = joined.where("twice = 2 * v").count()
+    assert got == 9000 and joined.columns == ["id", "v", "twice"]
+    assert counted.where("n * 1000 > 9000").count() == 1
+
+
+def test_split_join_keeps_rows_without_a_match(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "a")], "id int, k string")
+    per_key = spark.createDataFrame([("a", 2, 1.5), ("c", 1, 2.5)], "k string, n long, x double")
+    for total in (2, 10**9):  # all keys hot, none
+        joined = skew.split_join(rows, per_key, "k", "n", F.lit(total), ["id"])
+        assert sorted((r.id, r.x) for r in joined.collect()) == [(1, 1.5), (2, None), (3, None), (4, 1.5)]
+
+
 def test_at_most_two_rows_per_customer_leave_a_map_task(stored, no_broadcast):
     plan = final_plan(kpi.customer_repeat_windows(stored["core.fact_sales"]))
     assert "row_number(), 2, Partial" in plan

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions import money
+from tillstar.operators.distinct import count_distinct, with_distinct
 from tillstar.operators.ranking import with_dense_rank
-from tillstar.operators.skew import salted_join
+from tillstar.operators.skew import with_minimum_per_key
 
 
 def _n_rows() -> Column:
@@ -39,21 +40,28 @@ def _with_shares(groups: DataFrame, **shares: str) -> DataFrame:
 
 
 def kpi_headline(fact: DataFrame) -> DataFrame:
-    """Totals in one row, which is there and zero even for an empty fact."""
-    sums = fact.agg(
-        _n_rows(),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("product_id").alias("products"),
-        F.coalesce(money.total(F.col("net_revenue")), F.lit(0).cast(money.TOTAL)).alias(
-            "net_revenue"
-        ),
-        F.min("order_date").alias("min_date"),
-        F.max("order_date").alias("max_date"),
+    """Totals in one row, which is there and zero even for an empty fact.
+
+    The fact is read once for the customers and all sums, and once for the products.
+    """
+    sums = with_distinct(
+        fact,
+        "customer_id",
+        "customers",
+        {
+            "orders": (F.count(F.lit(1)), F.coalesce(F.sum("orders"), F.lit(0))),
+            "net_revenue": (
+                money.total(F.col("net_revenue")),
+                F.coalesce(money.total(F.col("net_revenue")), F.lit(0).cast(money.TOTAL)),
+            ),
+            "min_date": (F.min("order_date"), F.min("min_date")),
+            "max_date": (F.max("order_date"), F.max("max_date")),
+        },
     )
     return sums.select(
         "orders",
         "customers",
-        "products",
+        count_distinct(fact, "product_id").alias("products"),
         "net_revenue",
         money.ratio_or_zero(F.col("net_revenue"), F.col("orders")).alias("aov"),
         "min_date",
@@ -189,11 +197,15 @@ def _order_type(first_date: str) -> Column:
 def order_new_repeat(fact: DataFrame) -> DataFrame:
     """Fact rows marked new on the customer's first day, else repeat.
 
-    A window per customer would put all rows of a hot customer into one task, so
-    the rows meet the first dates in a salted join.
+    A window per customer would put all rows of a hot customer into one task, and a join with
+    the first dates would work the fact out twice.
     """
-    dated = salted_join(
-        fact, customer_first_purchase(fact), "customer_id", ["order_id", "product_id", "order_date"]
+    dated = with_minimum_per_key(
+        fact,
+        "customer_id",
+        "order_date",
+        "first_purchase_date",
+        ["order_id", "product_id", "order_date"],
     )
     return dated.select(*fact.columns, _order_type("first_purchase_date"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions import domains, money
+from tillstar.operators.distinct import count_distinct, with_distinct
 
 # Tables of the row-count report and metric names of the summary.
 COUNTED_TABLES = {
@@ -198,11 +199,21 @@ def offender_sample(helper: DataFrame, *order: str, n: int = 5) -> DataFrame:
 
 def fact_profile(fact: DataFrame) -> DataFrame:
     """Five figures of the fact as (metric, value as text)."""
-    one_row = fact.agg(
-        _count().cast("string").alias("fact_sales"),
-        F.count_distinct("customer_id").cast("string").alias("distinct_customers"),
-        F.count_distinct("product_id").cast("string").alias("distinct_products"),
-        F.min("order_date").cast("string").alias("min_date"),
-        F.max("order_date").cast("string").alias("max_date"),
+    sums = with_distinct(
+        fact,
+        "customer_id",
+        "customers",
+        {
+            "n": (_count(), _sum(F.col("n"))),
+            "lo": (F.min("order_date"), F.min("lo")),
+            "hi": (F.max("order_date"), F.max("hi")),
+        },
+    )
+    one_row = sums.select(
+        F.col("n").cast("string").alias("fact_sales"),
+        F.col("customers").cast("string").alias("distinct_customers"),
+        count_distinct(fact, "product_id").cast("string").alias("distinct_products"),
+        F.col("lo").cast("string").alias("min_date"),
+        F.col("hi").cast("string").alias("max_date"),
     )
     return _as_rows([one_row], "metric", "value")

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.operators.skew import salted_join
+from tillstar.operators.skew import split_join
 
 _BAND = Decimal("0.0001")  # 10 000 wide: at most 10^6 distinct values with two decimals
 _ZONE = 10_000  # bands per zone
@@ -18,8 +18,9 @@ def _sum_above(n: Column, window) -> Column:
     return F.coalesce(F.sum(n).over(above), F.lit(0))
 
 
-def dense_rank_positions(values: DataFrame, value: str, rank: str) -> DataFrame:
-    """Distinct two-decimal values of a frame with their dense rank, highest first.
+def dense_rank_positions(values: DataFrame, value: str, rank: str, ties: str) -> DataFrame:
+    """Distinct two-decimal values of a frame with their dense rank, highest first, and their
+    number of rows.
 
     Values fall into bands by size, bands into zones. A value's rank is its place in
     its band plus the values in higher bands of its zone plus those in higher zones.
@@ -28,7 +29,9 @@ def dense_rank_positions(values: DataFrame, value: str, rank: str) -> DataFrame:
     """
     # Never-NULL bands and zones: no join below pushes a filter of its own under the
     # shuffles, so all three uses of the distinct values share one shuffle.
-    distinct = values.where(F.col(value).isNotNull()).select(value).distinct()
+    distinct = (
+        values.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias(ties))
+    )
     band = F.coalesce(F.floor(F.col(value) * F.lit(_BAND)).cast("long"), F.lit(0))
     banded = distinct.withColumn("_band", band)
     zone = F.col("_band") - F.coalesce(F.pmod(F.col("_band"), F.lit(_ZONE)), F.lit(0))
@@ -49,7 +52,7 @@ def dense_rank_positions(values: DataFrame, value: str, rank: str) -> DataFrame:
     return (
         banded.withColumn("_place", F.row_number().over(in_band))
         .join(offsets, "_band")
-        .select(value, (F.col("_place") + F.col("_above")).cast("long").alias(rank))
+        .select(value, ties, (F.col("_place") + F.col("_above")).cast("long").alias(rank))
     )
 
 
@@ -60,5 +63,6 @@ def with_dense_rank(
 
     A NULL value has no rank.
     """
-    positions = dense_rank_positions(values, value, rank)
-    return salted_join(rows, positions, value, spread_by, how="left")
+    positions = dense_rank_positions(values, value, rank, "_ties")
+    total = values.agg(F.count(value)).scalar()
+    return split_join(rows, positions, value, "_ties", total, spread_by)
