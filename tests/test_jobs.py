@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import subprocess
+import sys
 from decimal import Decimal
 from pathlib import Path
 
@@ -151,6 +153,71 @@ def test_a_failing_export_replaces_nothing(spark, tmp_path):
     assert read_lines(str(tmp_path / "a.csv")) == ["id", "0"]
 
 
+def test_a_publication_is_seen_all_at_once(spark, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    schema = spark.range(1).schema
+    with pytest.raises(LookupError):
+        snapshots.published(spark, out)
+    names = [f"f{i}" for i in range(7)]
+    first = snapshots.publish(spark, {n: spark.range(1) for n in names}, out)
+
+    def rows():
+        return [snapshots.read_published(spark, out, n, schema).count() for n in names]
+
+    assert snapshots.published(spark, out) == first and rows() == [1] * 7
+    write = snapshots.export_csv
+    for failing in range(7):  # before each of the seven files
+        written = []
+
+        def export(df, path, failing=failing, written=written):
+            if len(written) == failing:
+                raise OSError("no space")
+            written.append(path)
+            write(df, path)
+
+        monkeypatch.setattr(snapshots, "export_csv", export)
+        with pytest.raises(OSError, match="no space"):
+            snapshots.publish(spark, {n: spark.range(5) for n in names}, out)
+    monkeypatch.setattr(snapshots, "export_csv", write)
+    assert snapshots.published(spark, out) == first and rows() == [1] * 7
+    # a pointer that was never finished doesn't count, and keeps its number
+    (tmp_path / "published" / f"{2:012d}").write_text("")
+    assert rows() == [1] * 7
+    second = snapshots.publish(spark, {n: spark.range(3) for n in names}, out)
+    assert snapshots.published(spark, out) == second and rows() == [3] * 7
+    assert sorted(p.name for p in (tmp_path / "published").glob("0*")) == [f"{i:012d}" for i in (1, 2, 3)]
+
+
+def test_published_answers(spark, built):
+    _, build, folder = built
+    out = str(folder / "published")
+    jobs.publish_snapshots(spark, build.tables, out)
+    for name, answer in jobs.snapshots(build.tables, top_n=50).items():
+        back = snapshots.read_published(spark, out, name, answer.schema)
+        assert sorted(map(str, tuples(back))) == sorted(map(str, tuples(answer)))
+
+
+def test_a_repeated_order_leaves_no_fact(spark, tmp_path):
+    src, root = write_source(tmp_path / "in"), str(tmp_path / "out")
+    write_csv(Path(src) / extracts.ORDERS_FILE, schemas.ORDER_COLUMNS, ORDERS + ORDERS[:1])
+    with pytest.raises(model.DuplicateKeyError, match="order_id"):
+        jobs.build(spark, src, root)
+    assert not (tmp_path / "out" / "core" / "fact_sales").exists()
+    assert not spark.catalog.tableExists("core.fact_sales")
+    values = {r.metric: r.value for r in jobs.build(spark, src, root, on_duplicate="report").quality.collect()}
+    assert values["dupe_fact_sales_order_id"] == "1" and values["rows_fact_sales"] == "4"
+
+
+def test_a_build_without_a_catalog(spark, tmp_path):
+    src, root = write_source(tmp_path / "in"), str(tmp_path / "out")
+    built = jobs.build(spark, src, root, catalog=False)
+    assert built.tables["core.fact_sales"].count() == 3
+    wh = warehouse.Warehouse(spark, root)
+    wh.require("core.fact_sales", "core.dim_region")
+    with pytest.raises(warehouse.MissingTableError, match="core.nowhere"):
+        wh.require("core.fact_sales", "core.nowhere")
+
+
 def test_blank_extract_has_no_rows(spark, tmp_path):
     (tmp_path / "blank.csv").write_text("\n")
     blank = extracts.read_products_raw(spark, str(tmp_path / "blank.csv"))
@@ -204,6 +271,23 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert first.root.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_goes_with_its_application(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "{tmp_path}").getOrCreate()
+from tillstar.sinks.warehouse import scratch
+kept = scratch(spark)
+kept.write(spark.range(3), "a")
+import os
+print("ROWS", kept.read("a").count(), sum(n.startswith("tillstar-") for n in os.listdir("{tmp_path}")))
+spark.stop()
+"""
+    at = Path(__file__).resolve().parent.parent
+    run = subprocess.run([sys.executable, "-c", code], cwd=at, capture_output=True, text=True, timeout=120)
+    assert "ROWS 3 1" in run.stdout
+    assert not list(tmp_path.glob("tillstar-*"))
+
+
 def test_every_row_is_shown(spark, capsys):
     from tillstar.__main__ import _show
 

@@ -213,11 +213,20 @@ def test_top_n_sorts_n_rows_per_task(stored, no_broadcast):
 
 def test_orphan_checks_group_before_they_join(stored, no_broadcast):
     plan = initial_plan(quality.referential(stored))
-    assert plan.count("LeftAnti") == 2
-    for text in re.findall(r"LeftAnti\n(?:.*\n){12}", plan):
+    assert plan.count("LeftOuter") == 1
+    for text in re.findall(r"LeftOuter\n(?:.*\n){12}", plan):
         assert "HashAggregate(keys=[" in text
 
 
+def test_all_checks_read_the_fact_once(spark, stored, no_broadcast):
+    names = [t for t in quality.COUNTED_TABLES if t not in stored]
+    tables = stored | {t: spark.range(1).select("id", F.lit(1).alias("selling_price")) for t in names}
+    plan = final_plan(quality.dq_summary(tables))
+    # only the fact has an order_id
+    assert len(re.findall(r"FileScan parquet \[[^\]]*order_id", plan)) == 1
+    assert len(re.findall(r"FileScan parquet \[[^\]]*net_revenue", plan)) == 1
+
+
 def test_bounds_come_from_a_subquery(stored):
     plan = initial_plan(quality.temporal(stored))
     assert "Subquery" in plan

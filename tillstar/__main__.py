@@ -32,11 +32,15 @@ def _parse(args: list[str] | None) -> argparse.Namespace:
     export = commands.add_parser("export", help="CSV snapshots")
     export.add_argument("root")
     export.add_argument("out", help="folder for the snapshots")
+    publish = commands.add_parser("publish", help="CSV snapshots, seen all at once")
+    publish.add_argument("root")
+    publish.add_argument("out", help="folder for the publications")
     return parser.parse_args(args)
 
 
 def _show(answers: dict[str, DataFrame], checks: DataFrame) -> None:
-    """Print every row of each frame, tab-separated, a partition at a time."""
+    """Print every row of each frame, tab-separated, a partition at a time. The partitions of a
+    report are few, as adaptive execution merges small ones."""
     for name, df in (answers | {"dq_summary": checks}).items():
         print(name)
         print("\t".join(df.columns))
@@ -61,6 +65,8 @@ def main(args: list[str] | None = None) -> None:
     tables = jobs.stored_tables(Warehouse(spark, options.root))
     if options.command == "report":
         _show(jobs.analysis(tables), quality.dq_summary(tables))
+    elif options.command == "publish":
+        print(jobs.publish_snapshots(spark, tables, options.out))
     else:
         print("\n".join(jobs.export_snapshots(spark, tables, options.out)))
 

@@ -176,6 +176,21 @@ def seasonality_monthly(fact: DataFrame, dim_calendar: DataFrame) -> DataFrame:
     return months.withColumn("avg_order_value", average).drop("valued")
 
 
+def sales_by_day(
+    fact: DataFrame, dim_calendar: DataFrame, year: int, season: str | None = None
+) -> DataFrame:
+    """Orders and revenue of each day with sales in a year, or in one season of it.
+
+    The calendar is filtered and the fact is joined on its date. On a fact stored by date, Spark
+    prunes folders by that join at run time.
+    """
+    days = dim_calendar.where(F.col("year") == year)
+    if season is not None:
+        days = days.where(F.col("season_uk") == season)
+    lines = fact.join(days.select(F.col("date").alias("order_date")), "order_date", "left_semi")
+    return lines.groupBy("order_date").agg(_n_rows(), _revenue())
+
+
 def payment_mix(fact: DataFrame) -> DataFrame:
     method = F.coalesce("payment_method", F.lit("other")).alias("payment_method")
     mix = fact.groupBy(method).agg(_n_rows(), _revenue())

@@ -1,8 +1,7 @@
 """Row counts and data-quality checks.
 
 A check is a one-row frame whose columns are named numbers; reports turn those into
-rows. Each table is read once per key it must be grouped by, and grouped
-before it meets a dimension.
+rows. The fact is read once for all checks of a report, and grouped before it meets a dimension.
 """
 
 from __future__ import annotations
@@ -75,41 +74,73 @@ def _key_check(tables: Tables, table: str, with_rows: bool = False) -> DataFrame
     return counts.agg(*numbers)
 
 
-def _orphan_check(fact: DataFrame, dim: DataFrame, key: str, name: str) -> DataFrame:
-    lines = fact.groupBy(key).agg(_count().alias("n"))
-    return lines.join(dim.select(key), key, "left_anti").agg(_sum(F.col("n")).alias(name))
+def _fact_checks(tables: Tables, *wanted: str) -> DataFrame:
+    """All that is asked about the fact, from one read and one shuffle of it.
 
-
-def _customer_orphans(tables: Tables) -> DataFrame:
-    fact, dim = tables["core.fact_sales"], tables["core.dim_customer"]
-    return _orphan_check(fact, dim, "customer_id", ORPHAN_CUSTOMERS)
-
-
-def _product_orphans(tables: Tables) -> DataFrame:
-    fact, dim = tables["core.fact_sales"], tables["core.dim_product"]
-    return _orphan_check(fact, dim, "product_id", ORPHAN_PRODUCTS)
-
-
-def _day_checks(tables: Tables, *wanted: str) -> DataFrame:
-    """What can be told from the fact's lines per day: all from one pass."""
-    calendar = tables["core.dim_calendar"]
-    per_day = (
-        tables["core.fact_sales"]
-        .groupBy(F.col("order_date").alias("date"))
-        .agg(_count().alias("n"), F.count_if(F.col("net_revenue") < 0).alias("negative"))
+    A row becomes a key per kind of check, so keys of all kinds are grouped together: a hot
+    customer, product or day sends one row per map task. What the dimensions know then meets
+    one row per key.
+    """
+    fact, calendar = tables["core.fact_sales"], tables["core.dim_calendar"]
+    known = {
+        "customer": tables["core.dim_customer"].select(F.col("customer_id").alias("key")),
+        "product": tables["core.dim_product"].select(F.col("product_id").alias("key")),
+        "day": calendar.select(F.col("date").alias("key")),
+    }
+    keys = {
+        "order": ("order_id", [DUPLICATES["core.fact_sales"][1]]),
+        "customer": ("customer_id", [ORPHAN_CUSTOMERS]),
+        "product": ("product_id", [ORPHAN_PRODUCTS]),
+        "day": (
+            "order_date",
+            [ORPHAN_DAYS, DATES_OUTSIDE, NEGATIVE_REVENUE, COUNTED_TABLES["core.fact_sales"]],
+        ),
+    }
+    kinds = {kind: key for kind, (key, names) in keys.items() if set(names) & set(wanted)}
+    negative = (F.col("net_revenue") < 0).cast("int")
+    per_row = [
+        F.struct(
+            F.lit(kind).alias("kind"),
+            F.col(key).cast("string").alias("key"),
+            (negative if kind == "day" else F.lit(0)).alias("negative"),
+        )
+        for kind, key in kinds.items()
+    ]
+    per_key = (
+        fact.select(F.inline(F.array(*per_row)))
+        .groupBy("kind", "key")
+        .agg(_count().alias("n"), F.sum("negative").alias("negative"))
     )
-    days = calendar.select("date").distinct().withColumn("listed", F.lit(True))
+    lists = [
+        keys_of.where(F.col("key").isNotNull())
+        .select(F.lit(kind).alias("kind"), F.col("key").cast("string").alias("key"))
+        .distinct()
+        for kind, keys_of in known.items()
+        if kind in kinds and {ORPHAN_CUSTOMERS, ORPHAN_PRODUCTS, ORPHAN_DAYS} & set(keys[kind][1]) & set(wanted)
+    ]
+    if lists:
+        listed = reduce(DataFrame.unionAll, lists).withColumn("listed", F.lit(True))
+        per_key = per_key.join(listed, ["kind", "key"], "left")
+    else:
+        per_key = per_key.withColumn("listed", F.lit(True))
     span = calendar.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
-    outside = (F.col("date") < span["lo"]) | (F.col("date") > span["hi"])
+    day = F.col("key").try_cast("date")
+
+    def of(kind: str, test: Column | None = None) -> Column:
+        asked = F.col("kind") == kind
+        return asked if test is None else asked & test
+
+    unlisted, n = F.col("listed").isNull(), F.col("n")
     numbers = {
-        COUNTED_TABLES["core.fact_sales"]: _sum(F.col("n")),
-        NEGATIVE_REVENUE: _sum(F.col("negative")),
-        ORPHAN_DAYS: _sum_if(F.col("listed").isNull(), F.col("n")),
-        DATES_OUTSIDE: _sum_if(outside, F.col("n")),
+        DUPLICATES["core.fact_sales"][1]: F.count_if(of("order", n > 1)),
+        ORPHAN_CUSTOMERS: _sum_if(of("customer", unlisted), n),
+        ORPHAN_PRODUCTS: _sum_if(of("product", unlisted), n),
+        ORPHAN_DAYS: _sum_if(of("day", unlisted), n),
+        DATES_OUTSIDE: _sum_if(of("day", (day < span["lo"]) | (day > span["hi"])), n),
+        NEGATIVE_REVENUE: _sum_if(of("day"), F.col("negative")),
+        COUNTED_TABLES["core.fact_sales"]: _sum_if(of("day"), n),
     }
-    if ORPHAN_DAYS in wanted:
-        per_day = per_day.join(days, "date", "left")
-    return per_day.agg(*[numbers[name].alias(name) for name in wanted])
+    return per_key.agg(*[numbers[name].alias(name) for name in wanted])
 
 
 def _order_checks(tables: Tables, with_rows: bool = False) -> DataFrame:
@@ -142,25 +173,21 @@ def uniqueness(tables: Tables) -> DataFrame:
 
 
 def referential(tables: Tables) -> DataFrame:
-    checks = [
-        _customer_orphans(tables),
-        _product_orphans(tables),
-        _day_checks(tables, ORPHAN_DAYS),
-    ]
-    return _as_rows(checks, "check_name", "offenders")
+    checks = _fact_checks(tables, ORPHAN_CUSTOMERS, ORPHAN_PRODUCTS, ORPHAN_DAYS)
+    return _as_rows([checks], "check_name", "offenders")
 
 
 def domain(tables: Tables) -> DataFrame:
     checks = [
         _order_checks(tables),
         _price_checks(tables),
-        _day_checks(tables, NEGATIVE_REVENUE),
+        _fact_checks(tables, NEGATIVE_REVENUE),
     ]
     return _as_rows(checks, "check_name", "offenders")
 
 
 def temporal(tables: Tables) -> DataFrame:
-    return _as_rows([_day_checks(tables, DATES_OUTSIDE)], "check_name", "offenders")
+    return _as_rows([_fact_checks(tables, DATES_OUTSIDE)], "check_name", "offenders")
 
 
 def dq_summary(tables: Tables) -> DataFrame:
@@ -172,15 +199,15 @@ def dq_summary(tables: Tables) -> DataFrame:
         _price_checks(tables, with_rows=True),
         _key_check(tables, "core.dim_customer", with_rows=True),
         _key_check(tables, "core.dim_product", with_rows=True),
-        _key_check(tables, "core.fact_sales"),
-        _customer_orphans(tables),
-        _product_orphans(tables),
-        _day_checks(
+        _fact_checks(
             tables,
-            COUNTED_TABLES["core.fact_sales"],
-            NEGATIVE_REVENUE,
+            DUPLICATES["core.fact_sales"][1],
+            ORPHAN_CUSTOMERS,
+            ORPHAN_PRODUCTS,
             ORPHAN_DAYS,
             DATES_OUTSIDE,
+            NEGATIVE_REVENUE,
+            COUNTED_TABLES["core.fact_sales"],
         ),
     ]
     numbers = _as_rows(checks, "metric", "number")

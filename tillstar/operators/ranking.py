@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.skew import split_join
 
-_BAND = Decimal("0.0001")  # 10 000 wide: at most 10^6 distinct values with two decimals
-_ZONE = 10_000  # bands per zone
+BAND = Decimal("0.0001")  # 10 000 wide: at most 10^6 distinct values with two decimals
+ZONE = 10_000  # bands per zone
 
 
 def _sum_above(n: Column, window) -> Column:
@@ -32,9 +32,9 @@ def dense_rank_positions(values: DataFrame, value: str, rank: str, ties: str) ->
     distinct = (
         values.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias(ties))
     )
-    band = F.coalesce(F.floor(F.col(value) * F.lit(_BAND)).cast("long"), F.lit(0))
+    band = F.coalesce(F.floor(F.col(value) * F.lit(BAND)).cast("long"), F.lit(0))
     banded = distinct.withColumn("_band", band)
-    zone = F.col("_band") - F.coalesce(F.pmod(F.col("_band"), F.lit(_ZONE)), F.lit(0))
+    zone = F.col("_band") - F.coalesce(F.pmod(F.col("_band"), F.lit(ZONE)), F.lit(0))
     bands = (
         banded.groupBy("_band").agg(F.count(F.lit(1)).alias("_n")).withColumn("_zone", zone)
     )

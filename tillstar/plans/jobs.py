@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import clock
 from tillstar.operators import clean, kpi, model, quality, rejects
-from tillstar.sinks.snapshots import export_all
-from tillstar.sinks.warehouse import Warehouse
+from tillstar.plans.views import create_views
+from tillstar.sinks.snapshots import export_all, publish
+from tillstar.sinks.warehouse import BY_DATE, Warehouse
 from tillstar.sources import extracts
 from tillstar.sources.regions import dim_region
 
@@ -112,14 +113,6 @@ def judged_fact(tables: Tables, tz: str = clock.LONDON) -> DataFrame:
     )
 
 
-def star(raw: Tables, wh: Warehouse, tz: str = clock.LONDON) -> Tables:
-    """Raw tables to stored staging, dimensions and fact, without key checks."""
-    tables = {**raw, **stage(raw, wh, tz)}
-    tables |= dimensions(tables, wh)
-    tables["core.fact_sales"] = wh.write(fact(tables, tz), "core.fact_sales")
-    return tables
-
-
 def kpi_views(tables: Tables) -> Tables:
     """The KPI views and the quality summary as lazy frames."""
     sales = tables["core.fact_sales"]
@@ -174,6 +167,16 @@ def export_snapshots(spark: SparkSession, tables: Tables, out: str) -> list[str]
     return export_all(spark, snapshots(tables, top_n=50), out)
 
 
+def publish_snapshots(spark: SparkSession, tables: Tables, out: str) -> str:
+    """The seven answers as one publication; see snapshots.publish."""
+    return publish(spark, snapshots(tables, top_n=50), out)
+
+
+def rebuild_days(wh: Warehouse, tables: Tables, first, last, tz: str = clock.LONDON) -> list[str]:
+    """Work out the fact of some days anew, from the stored tables, and rewrite only these days."""
+    return wh.replace(fact(tables, tz), "core.fact_sales", first, last)
+
+
 def stored_tables(wh: Warehouse) -> Tables:
     """The tables of an earlier build, read from their folders."""
     return {name: wh.read(name) for name in RAW + STAGING + HELPERS + CORE}
@@ -214,6 +217,7 @@ def build(
     tz: str = clock.LONDON,
     on_duplicate: str = "raise",
     on_bad_row: str = "raise",
+    catalog: bool = True,
     **read_options,
 ) -> Build:
     """Run the whole chain from the extracts in `src` to tables under `root`.
@@ -221,8 +225,9 @@ def build(
     The first failing step stops it. A table whose key is NULL or repeated is a
     failure too, unless on_duplicate="report" leaves that to the quality report. So is a value
     that can't be read (rejects.STOPPING), unless on_bad_row="report" leaves that to `losses`.
+    Without the catalog the tables are folders only, and there are no views.
     """
-    wh = Warehouse(spark, root, catalog=True)
+    wh = Warehouse(spark, root, catalog, BY_DATE)
     tables = land(spark, src, wh, **read_options)
     counted: Counted = {}
     tables |= stage(tables, wh, tz, on_bad_row, counted)
@@ -238,8 +243,14 @@ def build(
     name = "core.fact_sales"
     judged, counted[name] = rejects.observed(judged_fact(tables, tz), name)
     tables[name] = wh.write(rejects.passing(judged, name), name)
-    model.assert_key(tables["core.fact_sales"], "order_id", on_duplicate=on_duplicate)
+    try:
+        model.assert_key(tables[name], "order_id", on_duplicate=on_duplicate)
+    except model.DuplicateKeyError:
+        wh.drop(name)  # a fact without a key is not to be read
+        raise
     wh.require(*CORE)
-    register_views(tables)
+    if catalog:
+        register_views(tables)
+        create_views(spark)
     losses = rejects.losses_of(spark, counted)
     return Build(tables, analysis(tables), quality.dq_summary(tables), losses)

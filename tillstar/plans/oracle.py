@@ -362,6 +362,16 @@ _SIDE_BY_SIDE = ", ".join(
     for kind in ("new", "repeat")
 )
 
+_ANSWERS = {
+    "kpi_headline": f"({_HEADLINE})",
+    "top_customers_ltv": f"({_top(50)})",
+    "sales_by_category": f"({_CATEGORY})",
+    "sales_by_region": f"({_REGION})",
+    "seasonality_monthly": f"({_MONTHS})",
+    "payment_mix": f"({_PAYMENT})",
+    "new_vs_repeat": f"({_SPLIT})",
+}
+
 _ON_STAGING = {
     "clean_customers": "FROM stg_customers",
     "clean_products": "FROM stg_products",
@@ -386,6 +396,7 @@ _ON_STAGING = {
     "dq_domain": _counts(_DOMAIN, "check_name", "offenders"),
     "dq_temporal": _counts(_TEMPORAL, "check_name", "offenders"),
     "dq_summary": _SUMMARY,
+    "build_summary": _SUMMARY,
     "dq_offender_samples": _SAMPLES,
 }
 
@@ -403,6 +414,10 @@ _ON_SALES = {
     "top_customers_10": _top(10),
     "top_customers_50": _top(50),
     "new_vs_repeat": _SPLIT,
+    "catalog_top_customers": _LTV,
+    "season_by_day": f"""SELECT order_date, count(*) AS orders, {_SUM} AS revenue FROM fact_sales
+WHERE year(order_date) = 1995 AND month(order_date) IN (3, 4, 5) GROUP BY 1""",
+    "published_rows": _counts(_ANSWERS, "name", "rows"),
     "fact_profile": _PROFILE,
     "export_roundtrip": _CATEGORY,
     "feed_headline": f"""SELECT * REPLACE (CAST(net_revenue AS DOUBLE) AS net_revenue, CAST(aov AS DOUBLE) AS aov,

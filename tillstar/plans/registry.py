@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from tillstar.functions import clock
 from tillstar.operators import clean, feeds, kpi, model, quality, rejects
 from tillstar.plans import jobs
-from tillstar.sinks.snapshots import export_csv
-from tillstar.sinks.warehouse import scratch
+from tillstar.plans.views import create_views
+from tillstar.sinks.snapshots import export_csv, read_published
+from tillstar.sinks.warehouse import BY_DATE, Warehouse, scratch
 from tillstar.sources import driver_tables, extracts
 from tillstar.sources.regions import dim_region
 
@@ -85,11 +86,15 @@ def _stage_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _on_star(build: Callable[[Tables], DataFrame], helpers: bool = False) -> Query:
-    """A query over stored staging, dimensions and fact, on demand with helper tables."""
+    """A query over stored staging and dimensions, on demand with helper tables. The fact is read
+    once by each of them, so it is not stored."""
 
     def query(spark, sf_dir):
         wh = scratch(spark)
-        tables = jobs.star(_raw(spark, sf_dir), wh)
+        tables = _raw(spark, sf_dir)
+        tables |= jobs.stage(tables, wh)
+        tables |= jobs.dimensions(tables, wh)
+        tables["core.fact_sales"] = jobs.fact(tables)
         return build(tables | jobs.helpers(tables, wh) if helpers else tables)
 
     return query
@@ -171,6 +176,64 @@ def _export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.csv(path)
 
 
+def _build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain: extracts written as CSV, landed, staged, modelled, checked."""
+    wh = scratch(spark)
+    for table, file in _EXTRACT_FILES.items():
+        export_csv(driver_tables.raw_extract(spark, sf_dir, table), f"{wh.root}/in/{file}")
+    built = jobs.build(
+        spark, f"{wh.root}/in", f"{wh.root}/out", on_duplicate="report", on_bad_row="report", catalog=False
+    )
+    return built.quality
+
+
+_EXTRACT_FILES = {
+    "raw.customers_raw": extracts.CUSTOMERS_FILE,
+    "raw.products_raw": extracts.PRODUCTS_FILE,
+    "raw.orders_raw": extracts.ORDERS_FILE,
+}
+_SALES_TABLES = ("core.fact_sales", "core.dim_customer", "core.dim_product", "core.dim_calendar")
+
+
+def _sales_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return {name: driver_tables.sales_table(spark, sf_dir, name) for name in _SALES_TABLES}
+
+
+def _published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the seven answers over the large fact, and count what is read back of each."""
+    tables = _sales_tables(spark, sf_dir)
+    out = scratch(spark).root
+    jobs.publish_snapshots(spark, tables, out)
+    parts = []
+    for name, answer in jobs.snapshots(tables, top_n=50).items():
+        back = read_published(spark, out, name, answer.schema)
+        parts.append(back.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows")))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _catalog_view(name: str) -> Query:
+    """A view of the catalog over the large fact."""
+
+    def query(spark, sf_dir):
+        wh = Warehouse(spark, scratch(spark).root, catalog=True)
+        wh.write_all(_sales_tables(spark, sf_dir))
+        create_views(spark, [name])
+        return spark.table(name)
+
+    return query
+
+
+def _season_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales per day of one season and year, from a fact stored by date: the calendar's filter
+    decides at run time which folders are read."""
+    wh = Warehouse(spark, scratch(spark).root, layout=BY_DATE)
+    tables = wh.write_all({n: t for n, t in _sales_tables(spark, sf_dir).items() if n in _DATED})
+    return kpi.sales_by_day(*[tables[n] for n in _DATED], year=1995, season="Spring")
+
+
+_DATED = ("core.fact_sales", "core.dim_calendar")
+
+
 def queries() -> dict[str, Query]:
     headline = _sales(kpi.kpi_headline)
     by_category = _sales(kpi.sales_by_category, "dim_product")
@@ -229,6 +292,8 @@ def queries() -> dict[str, Query]:
         "top_customers_10": _top(10),
         "top_customers_50": _top(50),
         "new_vs_repeat": new_vs_repeat,
+        "season_by_day": _season_by_day,
+        "catalog_top_customers": _catalog_view("core.v_top_customers_ltv"),
         "fact_profile": _sales(quality.fact_profile),
         # quality
         "stage_losses": _stage_losses,
@@ -240,8 +305,10 @@ def queries() -> dict[str, Query]:
         "dq_temporal": _on_star(quality.temporal),
         "dq_summary": _on_star(quality.dq_summary),
         "dq_offender_samples": _on_star(_offender_samples, helpers=True),
+        "build_summary": _build_summary,
         # export and report feeds
         "export_roundtrip": _export_roundtrip,
+        "published_rows": _published_rows,
         "feed_headline": _of(headline, feeds.feed_headline),
         "feed_top_customers": _of(_top(50), feeds.feed_top_customers),
         "feed_sales_by_category": _of(by_category, feeds.feed_sorted),
