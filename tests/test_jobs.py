@@ -241,6 +241,27 @@ def test_a_torn_row_stops_the_load(spark, tmp_path, split, torn):
             read.collect()
 
 
+def test_many_tasks_share_a_large_file(spark, tmp_path):
+    rows = [{"user id": str(i), "product id": "p1", "Interaction type": "view", "Time stamp": "1/1/2024 8:00"} for i in range(20_000)]
+    src = write_source(tmp_path / "in")
+    write_csv(Path(src) / extracts.ORDERS_FILE, schemas.ORDER_COLUMNS, rows)
+    path = f"{src}/{extracts.ORDERS_FILE}"
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        whole = extracts.read_orders_raw(spark, path)
+        shared = extracts.read_orders_raw(spark, path, line_breaks_in_fields=False)
+        assert whole.rdd.getNumPartitions() == 1 and shared.rdd.getNumPartitions() > 4
+        assert shared.count() == whole.count() == 20_000
+        wh = warehouse.scratch(spark)
+        raw = jobs.land(spark, src, wh, split=["raw.orders_raw"])
+        assert raw["raw.orders_raw"].count() == 20_000 and raw["raw.products_raw"].count() == 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with pytest.raises(ValueError, match="no such extract"):
+        jobs.land(spark, src, wh, split=["orders"])
+
+
 def test_build_over_tables_of_another_session(spark, tmp_path):
     src, root = write_source(tmp_path / "in"), str(tmp_path / "out")
     jobs.build(spark, src, root)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from tillstar.functions import clock
 from tillstar.operators import quality
 from tillstar.plans import jobs
-from tillstar.session import session
+from tillstar.session import session, sized_shuffles
 from tillstar.sinks.warehouse import Warehouse
 
 
@@ -27,6 +27,13 @@ def _parse(args: list[str] | None) -> argparse.Namespace:
     build.add_argument("--zone", default=clock.LONDON, help="zone of the event times")
     build.add_argument("--on-duplicate", choices=["raise", "report"], default="raise")
     build.add_argument("--on-bad-row", choices=["raise", "report"], default="raise")
+    build.add_argument(
+        "--split",
+        nargs="*",
+        choices=["customers", "products", "orders"],
+        default=[],
+        help="extracts without line breaks in fields, whose files many tasks may share",
+    )
     report = commands.add_parser("report", help="answers and quality checks")
     report.add_argument("root")
     export = commands.add_parser("export", help="CSV snapshots")
@@ -59,12 +66,14 @@ def main(args: list[str] | None = None) -> None:
             options.zone,
             options.on_duplicate,
             options.on_bad_row,
+            split=[f"raw.{name}_raw" for name in options.split],
         )
         _show(built.analysis | {"stage_losses": built.losses}, built.quality)
         return
     tables = jobs.stored_tables(Warehouse(spark, options.root))
     if options.command == "report":
-        _show(jobs.analysis(tables), quality.dq_summary(tables))
+        with sized_shuffles(spark, f"{options.root}/core"):
+            _show(jobs.analysis(tables), quality.dq_summary(tables))
     elif options.command == "publish":
         print(jobs.publish_snapshots(spark, tables, options.out))
     else:

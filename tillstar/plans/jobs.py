@@ -6,6 +6,7 @@ plans joins with real table sizes, and a lost executor costs one step, not the c
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tillstar.functions import clock
 from tillstar.operators import clean, kpi, model, quality, rejects
 from tillstar.plans.views import create_views
+from tillstar.session import sized_shuffles
 from tillstar.sinks.snapshots import export_all, publish
 from tillstar.sinks.warehouse import BY_DATE, Warehouse
 from tillstar.sources import extracts
@@ -164,12 +166,19 @@ def analysis(tables: Tables) -> Tables:
 
 
 def export_snapshots(spark: SparkSession, tables: Tables, out: str) -> list[str]:
-    return export_all(spark, snapshots(tables, top_n=50), out)
+    with sized_shuffles(spark, *files_of(tables)):
+        return export_all(spark, snapshots(tables, top_n=50), out)
 
 
 def publish_snapshots(spark: SparkSession, tables: Tables, out: str) -> str:
     """The seven answers as one publication; see snapshots.publish."""
-    return publish(spark, snapshots(tables, top_n=50), out)
+    with sized_shuffles(spark, *files_of(tables)):
+        return publish(spark, snapshots(tables, top_n=50), out)
+
+
+def files_of(tables: Tables) -> list[str]:
+    """The fact's files: by far the most of what the answers shuffle."""
+    return list(tables["core.fact_sales"].inputFiles())
 
 
 def rebuild_days(wh: Warehouse, tables: Tables, first, last, tz: str = clock.LONDON) -> list[str]:
@@ -193,19 +202,25 @@ class Build:
     losses: DataFrame
 
 
-def land(spark: SparkSession, src: str, wh: Warehouse, **read_options) -> Tables:
-    """Store the extracts under `src` as text tables."""
-    src = src.rstrip("/")
+_EXTRACTS = {
+    "raw.customers_raw": (extracts.CUSTOMERS_FILE, extracts.read_customers_raw),
+    "raw.products_raw": (extracts.PRODUCTS_FILE, extracts.read_products_raw),
+    "raw.orders_raw": (extracts.ORDERS_FILE, extracts.read_orders_raw),
+}
+
+
+def land(spark: SparkSession, src: str, wh: Warehouse, split: Collection[str] = ()) -> Tables:
+    """Store the extracts under `src` as text tables.
+
+    `split` names the raw tables whose extract has no line breaks in its fields: their files are
+    read by many tasks each. It suits the orders, which are the largest by far.
+    """
+    unknown = set(split) - set(_EXTRACTS)
+    if unknown:
+        raise ValueError(f"no such extract: {', '.join(sorted(unknown))}")
     frames = {
-        "raw.customers_raw": extracts.read_customers_raw(
-            spark, f"{src}/{extracts.CUSTOMERS_FILE}", **read_options
-        ),
-        "raw.products_raw": extracts.read_products_raw(
-            spark, f"{src}/{extracts.PRODUCTS_FILE}", **read_options
-        ),
-        "raw.orders_raw": extracts.read_orders_raw(
-            spark, f"{src}/{extracts.ORDERS_FILE}", **read_options
-        ),
+        table: read(spark, f"{src.rstrip('/')}/{file}", line_breaks_in_fields=table not in split)
+        for table, (file, read) in _EXTRACTS.items()
     }
     return wh.write_all(frames)
 
@@ -218,17 +233,23 @@ def build(
     on_duplicate: str = "raise",
     on_bad_row: str = "raise",
     catalog: bool = True,
-    **read_options,
+    split: Collection[str] = (),
 ) -> Build:
     """Run the whole chain from the extracts in `src` to tables under `root`.
 
     The first failing step stops it. A table whose key is NULL or repeated is a
     failure too, unless on_duplicate="report" leaves that to the quality report. So is a value
     that can't be read (rejects.STOPPING), unless on_bad_row="report" leaves that to `losses`.
-    Without the catalog the tables are folders only, and there are no views.
+    Without the catalog the tables are folders only, and there are no views. See land for split.
     """
     wh = Warehouse(spark, root, catalog, BY_DATE)
-    tables = land(spark, src, wh, **read_options)
+    tables = land(spark, src, wh, split)
+    with sized_shuffles(spark, wh.path("raw")):
+        return _build(tables, wh, tz, on_duplicate, on_bad_row)
+
+
+def _build(tables: Tables, wh: Warehouse, tz: str, on_duplicate: str, on_bad_row: str) -> Build:
+    spark = wh.spark
     counted: Counted = {}
     tables |= stage(tables, wh, tz, on_bad_row, counted)
     tables |= helpers(tables, wh) | dimensions(tables, wh)
@@ -249,7 +270,7 @@ def build(
         wh.drop(name)  # a fact without a key is not to be read
         raise
     wh.require(*CORE)
-    if catalog:
+    if wh.catalog:
         register_views(tables)
         create_views(spark)
     losses = rejects.losses_of(spark, counted)

@@ -8,7 +8,7 @@ as a build does.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -267,7 +267,7 @@ def queries() -> dict[str, Query]:
             _through_csv(
                 "raw.orders_raw",
                 extracts.ORDERS_FILE,
-                extracts.read_orders_raw,
+                partial(extracts.read_orders_raw, line_breaks_in_fields=False),
                 clean.clean_orders,
             ),
             _utc,
