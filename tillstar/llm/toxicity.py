@@ -31,8 +31,10 @@ LANDMARKS, ROUNDS = 512, 3
 #: Decay per character spanned and the longest span of a subsequence.
 DECAY, SPAN = 0.7, 6
 SYMBOLS = 32
-CACHED = 300_000
-CHUNK = 1 << 20
+#: Words whose value a worker remembers; characters that are looked at together; rows of a slice.
+CACHED = 100_000
+CHUNK, STRETCH = 1 << 19, 1 << 16
+ROWS = 512
 
 _START, _END = 31, 30
 # Characters written for letters.
@@ -67,21 +69,29 @@ def instances(text: str | None) -> set[str]:
     return {*low.split(), *("".join(m.split()) for m in _SPACED.findall(low))}
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, subsequence, weight) of every gapped subsequence; weights of a word have norm 1
-    as if all its subsequences differed."""
+def _symbols_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all words with marks at their ends, and which word each belongs to."""
     joined = "".join(f"\x01{w}\x02" for w in words)
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     symbol = _TABLE[np.minimum(points, 0xFFFF)]
     symbol[points == 1], symbol[points == 2] = _START, _END
-    owner = np.cumsum(points == 1) - 1
-    n, out = len(points), []
+    return symbol, np.cumsum(points == 1) - 1
+
+
+def _triples(symbol: np.ndarray, owner: np.ndarray, first: int, end: int):
+    """Per pair of gaps the words, codes and weight of the subsequences that begin in first..end."""
     for i, j in _OFFSETS:
-        m = max(0, n - j)
-        a, b, c = symbol[:m], symbol[i : m + i], symbol[j:]
-        ok = np.flatnonzero((owner[:m] == owner[j:]) & (a > 0) & (b > 0) & (c > 0))
-        code = (a[ok] * SYMBOLS + b[ok]) * SYMBOLS + c[ok]
-        out.append((owner[ok], code, np.full(len(ok), DECAY ** (j + 1))))
+        m = max(first, min(end, len(symbol) - j))
+        a, b, c = symbol[first:m], symbol[first + i : m + i], symbol[first + j : m + j]
+        ok = np.flatnonzero((owner[first:m] == owner[first + j : m + j]) & (a > 0) & (b > 0) & (c > 0))
+        yield owner[first:m][ok], (a[ok] * SYMBOLS + b[ok]) * SYMBOLS + c[ok], DECAY ** (j + 1)
+
+
+def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, subsequence, weight) of every gapped subsequence; weights of a word have norm 1
+    as if all its subsequences differed."""
+    symbol, owner = _symbols_of(words)
+    out = [(own, code, np.full(len(own), w)) for own, code, w in _triples(symbol, owner, 0, len(symbol))]
     word, code, weight = (np.concatenate(x) for x in zip(*out))
     norm = np.sqrt(np.bincount(word, weight * weight, len(words)))
     return word, code, weight / np.maximum(norm, 1e-12)[word]
@@ -97,10 +107,20 @@ class Model:
     shift: float = 0.0
 
     def values(self, words: list[str]) -> np.ndarray:
+        """The value of each word, worked out a stretch of characters at a time, so that neither
+        many words nor a very long one take much memory."""
         if not words:
             return np.zeros(0)
-        word, code, weight = subsequences(words)
-        return np.bincount(word, self.weights[code] * weight, len(words)) + self.bias
+        symbol, owner = _symbols_of(words)
+        found, norm = np.zeros(len(words)), np.zeros(len(words))
+        for at in range(0, len(symbol), STRETCH):
+            for own, code, weight in _triples(symbol, owner, at, at + STRETCH):
+                if len(own):
+                    low = own[0]  # owners rise
+                    part = slice(low, own[-1] + 1)
+                    found[part] += np.bincount(own - low, self.weights[code]) * weight
+                    norm[part] += np.bincount(own - low) * weight**2
+        return found / np.sqrt(np.maximum(norm, 1e-24)) + self.bias
 
     def score(self, best: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * best + self.shift, -30, 30)))
@@ -299,7 +319,9 @@ def score(docs: DataFrame, model: Model | None, column: str = "toxicity") -> Dat
     """docs with the score of every whole text, 0 to 1. Only the column `text` is read.
 
     A null or empty text scores as one whose words are all harmless. Without a model (no
-    labelled texts of both kinds) all scores are 0.
+    labelled texts of both kinds) all scores are 0. Null ids and repeated rows are rows like others,
+    equal texts have equal scores, an empty table gives an empty one. A column that is called as the
+    score is to be called is replaced.
     """
     if model is None:
         return docs.withColumn(column, F.lit(0.0))
@@ -309,9 +331,15 @@ def score(docs: DataFrame, model: Model | None, column: str = "toxicity") -> Dat
     def add(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            best = _best(shared.value, batch.column(at).to_pylist(), _cache(key))
-            value = shared.value.score(np.array(best, float))
-            yield batch.append_column(column, pa.array(value, pa.float64()))
-
-    schema = docs.withColumn(column, F.lit(0.0).cast("double")).schema
-    return docs.mapInArrow(add, schema)
+            for first in range(0, len(batch), ROWS):
+                part = batch.slice(first, ROWS)
+                best = _best(shared.value, part.column(at).to_pylist(), _cache(key))
+                value = shared.value.score(np.array(best, float))
+                yield part.append_column(made, pa.array(value, pa.float64()))
+
+    made = column
+    while made in docs.columns:  # a given column of that name gives way to the score
+        made += "_"
+    schema = docs.withColumn(made, F.lit(0.0).cast("double")).schema
+    scored = docs.mapInArrow(add, schema)
+    return scored if made == column else scored.drop(column).withColumnRenamed(made, column)
