@@ -30,6 +30,11 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether any character is of a letter category; numerals like ½ are none."""
+    return bool(text) and any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def presence(texts: list[str]) -> np.ndarray:
     """One row per text: 1 for every n-gram feature that occurs in it."""
     out = np.zeros((len(texts), FEATURES), np.float32)
@@ -77,7 +82,7 @@ class Model:
         return np.concatenate(parts) if parts else np.zeros((0, len(self.landmarks)), np.float32)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if has_letter(t)]
         language, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if known and self.languages:
             margin = self.kernel([texts[i] for i in known]) @ self.coefficients
@@ -135,10 +140,12 @@ def train(labelled: DataFrame) -> Model:
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, other columns but text, lang_pred and score for every whole text.
 
-    A text that is null or has no letter is `und` with score 0. Only text is read.
+    A text that is null or has no letter is `und` with score 0. Only text is read; given columns
+    called lang_pred or score are left out. Null ids and repeated rows are rows like others, equal
+    texts have equal results, an empty table gives an empty one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c != "text"]
+    rest = [c for c in docs.columns if c not in ("text", "lang_pred", "score")]
 
     def add(batches):
         for batch in batches:
