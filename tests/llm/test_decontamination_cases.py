@@ -82,3 +82,15 @@ def test_a_long_item_costs_short_texts_nothing():
     assert not any(found[:-1]) and found[-1][0][0] == 900
     line, origin = decontaminate._reached(np.arange(100), np.array([3, 50]), 4)
     assert line.tolist() == [3, 4, 5, 6, 7, 50, 51, 52, 53, 54] and origin.tolist() == [0, 5]
+
+
+@pytest.mark.parametrize("n", [15, 30, 55])
+def test_recall_at_the_largest_distance(n):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(600)]
+    filler = lambda: " ".join(rng.choices(vocabulary, k=30)).encode()
+    items = [(i, " ".join(rng.choices(vocabulary, k=n)).encode()) for i in range(200)]
+    texts = [b" ".join([filler(), *edited(rng, t.split(), int(0.2 * n)), filler()]) for _, t in items]
+    bench = decontaminate.prepare(items)
+    found = decontaminate.find(texts, bench)
+    assert sum(i in {bench.ids[k] for k in held} for i, held in enumerate(found)) >= 0.98 * len(items)

@@ -6,7 +6,8 @@ again, so their outputs differ in few places: edit distance becomes Hamming dist
 repetition samples a few output places of every item-sized window as a key; keys that an item
 shares are candidates, confirmed by the exact edit distance. Windows that lack too many words of
 the benchmark can't be within the distance and are passed over without any loss. A walk stops
-at the end of its text and writes that end from then on.
+at the end of its text and writes words from then on that the benchmark lacks, as most of what
+follows an item elsewhere.
 """
 
 from __future__ import annotations
@@ -128,6 +129,7 @@ def walk_keys(
     for i, size in enumerate(sizes):
         for step in size.places[r].tolist():
             wanted.setdefault(step, []).append(i)
+    said = np.where(line == END, OTHER, line).astype(np.uint64)
     at, walking, rows, bits = starts, None, {}, np.zeros(0, np.uint64)
     for step in range(max(last, default=-1) + 1):
         if step % 64 == 0:
@@ -140,8 +142,7 @@ def walk_keys(
             walking, move = left, np.empty(len(at), np.uint64)
         for i in wanted.get(step, []):
             if last[i] >= 0:
-                word = line[at[rows[i]]].astype(np.uint64)
-                keys[i] = mix64(keys[i] ^ (word + np.uint64(step * 0x9E3779B1 + 1)))
+                keys[i] = mix64(keys[i] ^ (said[at[rows[i]]] + np.uint64(step * 0x9E3779B1 + 1)))
         # no place is out of range: a walk stops at an end, and line reaches as far as its steps
         np.take(bits, at, out=move, mode="clip")
         move >>= np.uint64(step % 64)
