@@ -25,6 +25,8 @@ from tillstar.llm.common import stored
 
 #: Entries of one generation of a worker's cache of encoded chunks; longer chunks are not kept.
 CACHED, LONGEST_CACHED = 300_000, 64
+#: Characters of texts that are encoded together, and chunks encoded in a row.
+GROUP, IN_A_ROW = 1 << 20, 64
 #: Pieces that share a rank bucket, about, and the fewest buckets.
 PER_BUCKET, BUCKETS = 20_000, 64
 
@@ -34,6 +36,8 @@ _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: before it, a run of white space without the last of it, or that last one.
 _CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
 
+_SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_SPACE}]", c))
+
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -50,11 +54,10 @@ class _Cache(dict):
         self[chunk] = ids
         return ids
 
-    def keep(self, new: dict[str, bytes]) -> None:
-        if len(self) + len(new) > CACHED:
+    def make_room(self) -> None:
+        if len(self) > CACHED:
             self.older = dict(self)
             self.clear()
-        self.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST_CACHED)
 
 
 class Encoder:
@@ -64,6 +67,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = _Cache()
+        #: per id whether its token begins with a space
+        self.spaced = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        mark = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(mark)]] = True
 
     @staticmethod
     def of(file: str) -> "Encoder":
@@ -73,24 +80,54 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size < GROUP):
+                size += len(texts[end] or "")
+                end += 1
+            yield from self._group(texts[at:end])
+            at = end
+
+    def _group(self, texts: list[str | None]) -> Iterator[bytes]:
+        cache = self.cache
+        cache.make_room()
+        cut, misses = [], set()
         for text in texts:
             if text and any(s in text for s in self.special):
-                yield self._ids(self.tokenizer.encode(text, add_special_tokens=False))
+                cut.append(None)
                 continue
             chunks = _CHUNK.findall(text or "")
-            try:
-                yield b"".join(map(self.cache.__getitem__, chunks))
-            except KeyError:
-                yield self._with_misses(chunks)
-
-    def _with_misses(self, chunks: list[str]) -> bytes:
-        cache, older = self.cache, self.cache.older
-        misses = list({c for c in chunks if c not in cache and c not in older})
-        found = zip(misses, self.tokenizer.encode_batch_fast(misses, add_special_tokens=False))
-        new = {c: self._ids(e) for c, e in found}
-        out = b"".join([new[c] if c in new else cache[c] for c in chunks])
-        cache.keep(new)
-        return out
+            cut.append(chunks)
+            misses.update(chunks)
+        misses = {c for c in misses if c not in cache and c not in cache.older}
+        long = [c for c in misses if len(c) > LONGEST_CACHED]
+        cache.update(self._chunks(misses))
+        for text, chunks in zip(texts, cut):
+            if chunks is None:
+                yield self._ids(self.tokenizer.encode(text, add_special_tokens=False))
+            else:
+                yield b"".join(map(cache.__getitem__, chunks))
+        for c in long:
+            del cache[c]
+
+    def _chunks(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
+        """Each chunk with its ids. Words that begin with a space are encoded in a row: no token
+        reaches across such a space, and no other token begins with one."""
+        words = [c for c in chunks if c[0] == " " and len(c) > 1 and c[1] not in _SPACES]
+        for at in range(0, len(words), IN_A_ROW):
+            some = words[at : at + IN_A_ROW]
+            (row,) = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
+            ids = np.asarray(row.ids, "<u4")
+            first = np.flatnonzero(self.spaced[ids])
+            if len(first) != len(some) or first[0] != 0:
+                raise ValueError("the tokenizer merges across spaces")
+            data = ids.tobytes()
+            edges = (4 * np.append(first, len(ids))).tolist()
+            yield from zip(some, (data[a:b] for a, b in zip(edges, edges[1:])))
+        others = list(chunks.difference(words))
+        found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        yield from ((c, self._ids(e)) for c, e in zip(others, found))
 
     @staticmethod
     def _ids(encoding) -> bytes:
