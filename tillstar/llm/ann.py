@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 
 from tillstar.llm.common import stored
 
-#: Vectors that the centres are fitted on at most, rounds of fitting, and lists at most.
-SAMPLE, ROUNDS, LISTS = 20_000, 8, 4096
+#: Vectors that the centres are fitted on, about, but PER_LIST a list where that is more; rounds
+#: of fitting; cells of a product of vectors and centres that is held at once.
+SAMPLE, PER_LIST, ROUNDS, CELLS = 20_000, 4, 8, 1 << 22
+#: Share of the true neighbours that the probed lists must hold, the held-out queries that it is
+#: measured with, about, and the fewest lists that are probed.
+RECALL, ASKED, PROBES = 0.95, 256, 48
 #: Columns of a block, and the test's strength: the share of survivors wrongly dropped falls
 #: with its square in the exponent.
 BLOCK, EPSILON = 16, 2.1
@@ -30,12 +34,14 @@ VECTORS, QUERIES = 1024, 512
 
 @dataclass
 class Index:
-    """vectors: vec_id, v (double array), list. centres: unit vectors, rotated."""
+    """vectors: vec_id, v (double array), list. centres: unit vectors, rotated. probes: lists
+    that a query scans, measured (see lists_to_probe) at the first search that names none."""
 
     vectors: DataFrame
     rotation: np.ndarray
     centres: np.ndarray
     sizes: np.ndarray
+    probes: int | None = None
 
 
 def rotation(dims: int, seed: int = 7) -> np.ndarray:
@@ -54,7 +60,9 @@ def unit(v: np.ndarray) -> np.ndarray:
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.argmax(x @ centres.T, axis=1)
+    step = max(1, CELLS // len(centres))
+    parts = [np.argmax(x[i : i + step] @ centres.T, axis=1) for i in range(0, len(x), step)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
 def fit_centres(sample: np.ndarray, n: int, seed: int = 11) -> np.ndarray:
@@ -85,6 +93,14 @@ def _stack(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
+def sampled(good: DataFrame, count: int, wanted: int, salt: int) -> DataFrame:
+    """About `wanted` of `count` rows, by a hash of their id: each id with its least vector.
+    Chosen where the rows are, so no task sends more than its share."""
+    share = F.xxhash64("vec_id", F.lit(salt)) / float(1 << 64) + 0.5 < wanted / count
+    some = good.filter(share) if wanted < count else good
+    return some.groupBy("vec_id").agg(F.min("v").alias("v"))
+
+
 def build(vectors: DataFrame, lists: int | None = None) -> Index | None:
     """Index all usable vectors; None if there are none. Lists: the root of their number."""
     spark = vectors.sparkSession
@@ -94,10 +110,12 @@ def build(vectors: DataFrame, lists: int | None = None) -> Index | None:
         return None
     dims, count = lengths
     good = good.filter(F.size("v") == dims)
-    n = lists or int(min(LISTS, max(1, round(count**0.5))))
-    first = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+    n = lists or max(1, round(count**0.5))
+    fitted = sampled(good, count, max(SAMPLE, PER_LIST * n), 0).orderBy("vec_id").select("v").collect()
+    # ids that many rows repeat can leave a sample empty
+    fitted = fitted or good.select("v").limit(1).collect()
     turn = rotation(dims)
-    centres = fit_centres(unit(np.array([r[0] for r in first.select("v").collect()])) @ turn, n)
+    centres = fit_centres(unit(np.array([r[0] for r in fitted])) @ turn, n)
     shared = spark.sparkContext.broadcast((turn, centres))
 
     def assign(batches):
@@ -118,6 +136,53 @@ def build(vectors: DataFrame, lists: int | None = None) -> Index | None:
     return Index(listed, turn, centres, sizes)
 
 
+def lists_to_probe(index: Index, k: int, recall: float = RECALL, asked: int = ASKED) -> int:
+    """The fewest lists, at least PROBES, that hold `recall` of the k nearest vectors of held-out
+    queries: about `asked` vectors of the index, chosen by a hash of their id.
+
+    The answer they are measured against is exact: every partition compares all its vectors with
+    the queries and keeps k of each. The driver gets k rows a query.
+    """
+    spark, turn, centres = index.vectors.sparkSession, index.rotation, index.centres
+    total = int(index.sizes.sum())
+    if (index.sizes > 0).sum() <= PROBES:
+        return PROBES
+    rows = sampled(index.vectors, total, asked, 1).orderBy("vec_id").collect()
+    if not rows:
+        return len(centres)
+    queries, dims = unit(np.array([r["v"] for r in rows])), len(turn)
+    shared = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in rows]), queries))
+
+    def nearest(batches):
+        own, queries = shared.value
+        score = np.full((len(queries), k), -np.inf)
+        place = np.full((len(queries), k), -1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch["vec_id"].to_numpy(zero_copy_only=False)
+            near = queries @ unit(_stack(batch["v"], dims)).T
+            near[own[:, None] == ids] = -np.inf
+            at = np.broadcast_to(batch["list"].to_numpy(), near.shape)
+            near, at = np.hstack([score, near]), np.hstack([place, at])
+            best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+            score, place = (np.take_along_axis(x, best, axis=1) for x in (near, at))
+        some = np.nonzero(place >= 0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some[0].astype(np.int32)), pa.array(score[some]), pa.array(place[some].astype(np.int32))],
+            ["query", "score", "list"],
+        )
+
+    found = index.vectors.select("vec_id", "v", "list").mapInArrow(nearest, "query int, score double, list int")
+    order = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "list"))
+    true = found.withColumn("rank", order).filter(F.col("rank") <= k).select("query", "list").collect()
+    # per true neighbour, how many lists its query has to scan to meet it
+    near = np.argsort(-(queries @ turn @ centres.T), axis=1, kind="stable")
+    depth = np.argsort(near, axis=1)
+    needed = np.sort([depth[q, at] + 1 for q, at in true])
+    return max(PROBES, int(needed[int(np.ceil(recall * len(needed))) - 1])) if len(needed) else PROBES
+
+
 def scan(queries, query_ids, vectors, ids, turn, k: int):
     """For each query its k nearest in one list: rows (query id, vector id, cosine).
 
@@ -158,13 +223,17 @@ def scan(queries, query_ids, vectors, ids, turn, k: int):
     return out_query, out_id, out_score
 
 
-def search(index: Index | None, queries: DataFrame, k: int = 5, probes: int = 48) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int = 5, probes: int | None = None) -> DataFrame:
     """Per query (vec_id, v) its k nearest vectors of the index, other than its own id.
 
-    Each query scans its `probes` nearest lists, and more while these hold fewer than 8 * k
-    vectors; so small indexes are scanned whole. Result: query_id, rank from 1, vec_id, score.
-    Repeated ids count once; a query that takes no part (see usable) has no rows.
+    Each query scans its `probes` nearest lists (by default as many as lists_to_probe finds that a
+    recall of RECALL needs), and more while these hold fewer than 8 * k vectors; so small indexes
+    are scanned whole. Result: query_id, rank from 1, vec_id, score. Rows of one id count once, by
+    their best score; a query that takes no part (see usable) has no rows.
     """
+    if probes is None:
+        index.probes = index.probes or lists_to_probe(index, k)
+        probes = index.probes
     turn, centres, sizes = index.rotation, index.centres, index.sizes
     spark, dims = queries.sparkSession, len(turn)
     shared = spark.sparkContext.broadcast((turn, centres, sizes))
@@ -222,6 +291,8 @@ def search(index: Index | None, queries: DataFrame, k: int = 5, probes: int = 48
     met = questions.groupBy(*tile).cogroup(vectors.groupBy(*tile)).applyInPandas(
         meet, f"query_id {kind}, vec_id {kind}, score double"
     )
+    # an id whose rows lie in several lists is met in each
+    met = met.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = F.row_number().over(
         Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     )
