@@ -1,0 +1,96 @@
+"""The class model: every word has a class, chances add up to one, scores equal their definition."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from tillstar.llm import class_lm
+
+
+@pytest.fixture
+def few_frequent(monkeypatch):
+    monkeypatch.setattr(class_lm, "FREQUENT", 700)
+
+
+def corpus(rng, n=300):
+    """Sentences of three kinds of words that take turns; 3000 words, so most are no units."""
+    kinds = [[f"{k}{i}{k}" for i in range(1000)] for k in ("na", "ve", "ad")]
+    pick = lambda words: words[min(rng.randrange(1000), rng.randrange(1000))]
+    return [" ".join(pick(kinds[i % 3]) for i in range(60)) for _ in range(n)]
+
+
+def docs(spark, texts):
+    return spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, group string")
+
+
+def lexicon(model):
+    words = {w: (c, g) for w, c, g in zip(model.frequent.words.tolist(), model.frequent.counts, model.frequent.classes)}
+    for row in model.lexicon.collect():
+        words[row["word"] % (1 << 64)] = (row["c"], row["class"])
+    return words
+
+
+def test_every_word_has_a_class_and_chances_add_up(spark, few_frequent):
+    texts = [*corpus(random.Random(1)), "", None]
+    model = class_lm.train(docs(spark, texts).repartition(3))
+    words = lexicon(model)
+    distinct = {w for t in texts for w in (t or "").split()}
+    assert len(words) == len(distinct) and 0 < len(model.frequent.words) <= 700
+    assert sum(c for c, _ in words.values()) + model.ends == model.tokens
+    assert np.allclose((10**model.transitions).sum(axis=1), 1)
+    for group in range(1, class_lm.CLASSES):
+        own = np.array([c for c, g in words.values() if g == group])
+        assert model.sizes[group] == own.sum()
+        if len(own):
+            chance = 10 ** model.emission(own, np.full(len(own), group))
+            assert chance.sum() + 10 ** model.unseen[group] == pytest.approx(1)
+
+
+def test_scores_equal_their_definition(spark, few_frequent):
+    rng = random.Random(2)
+    model = class_lm.train(docs(spark, corpus(rng)))
+    words = lexicon(model)
+    asked = [*corpus(rng, 20), None, "", "  ", "never seen", "na1na never VE2ve ad999ad " * 50]
+    rows = class_lm.score(docs(spark, asked), model).orderBy("doc_id").collect()
+    assert [r["group"] for r in rows] == ["x"] * len(asked)
+    for row, text in zip(rows, asked):
+        total, before = 0.0, class_lm.END
+        for word in class_lm.word_ids(None if text is None else text.encode()):
+            end = word == class_lm.END
+            unit = class_lm._ending(np.array([word]))
+            count, group = (model.ends, class_lm.END) if end else words.get(int(word), (0, model.endings[unit[0]]))
+            total += model.transitions[before, group] + model.emission(np.array([count]), np.array([group]))[0]
+            before = group
+        assert row["score"] == pytest.approx(total)
+
+
+def test_words_go_where_their_neighbours_are(spark):
+    model = class_lm.train(docs(spark, corpus(random.Random(3), 600)))
+    of = {class_lm.word_ids(f"{k}{i}{k}".encode())[0]: k for k in ("na", "ve", "ad") for i in range(1000)}
+    kinds: dict[int, list[str]] = {}
+    for word, (_, group) in lexicon(model).items():
+        kinds.setdefault(group, []).append(of[word])
+    pure = sum(max(map(k.count, set(k))) for k in kinds.values())
+    assert pure > 0.95 * len(of)
+
+
+def test_pairs_of_a_word_over_many_batches(spark):
+    rng = np.random.default_rng(4)
+    table = rng.integers(1, 50, (class_lm.CLASSES, class_lm.CLASSES)).astype(float)
+    rows = [(int(w), rng.integers(1, class_lm.CLASSES, 2 * n, dtype=np.uint8).tobytes()) for w in (3, 3, 3, 9, -4, 3, 11, 9) for n in (1, 5)]
+    found = spark.createDataFrame(rows, "word long, pairs binary").repartition(3)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, 2)
+    try:
+        got = {r["word"]: (r["c"], r["class"]) for r in class_lm.assign(found, table).collect()}
+    finally:
+        spark.conf.unset(key)
+    size = np.log(table.sum(axis=0) + 0.5) + np.log(table.sum(axis=1) + 0.5)
+    for word in {w for w, _ in rows}:
+        pairs = np.frombuffer(b"".join(p for w, p in rows if w == word), np.uint8).reshape(-1, 2)
+        gain = sum(np.log(table[a] + 0.5) + np.log(table[:, b] + 0.5) for a, b in pairs) - len(pairs) * size
+        gain[class_lm.END] = -np.inf
+        assert got[word] == (len(pairs), int(gain.argmax()))
