@@ -5,8 +5,10 @@ deals a node's documents out by one more minwise token, so similar documents ten
 together and others part soon. Small nodes are compared exhaustively. In a large one every
 document is compared with the node's first; documents that this links need no more comparison
 with each other, so a node goes on branching only for the rest, and what is still large at the
-last level is compared with the rest in blocks. Estimates from the signature drop hopeless
-pairs; every link is confirmed on the full sets. Equal sets are one class from the start.
+last level is compared with the rest in blocks. There a parity sketch of the sets, whose bits
+differ in no more places than the sets do, and estimates from the signature drop hopeless pairs
+before they are made; every link is confirmed on the full sets. Equal sets are one class from the
+start.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from tillstar.llm.common import as_bytes, lookup, mix64, stored, words
 #: probability of 0.2 ** 8. One minwise token for each level of each tree.
 TREES, LEVELS = 8, 6
 TOKENS = TREES * LEVELS
+#: Bits of a parity sketch: of sets up to about twice as many shingles it tells the difference.
+SKETCH = 1024
 #: Nodes up to this size are compared exhaustively; documents of a block of a larger one.
 SMALL, PAIRS = 48, 1000
 CACHED = 300_000
@@ -65,24 +69,32 @@ def minwise(values: np.ndarray) -> np.ndarray:
     return (mix64(out) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
 
 
+def parity_sketch(values: np.ndarray) -> np.ndarray:
+    """Per hash value of a set's shingles whether an odd number has it, as signed 64-bit words."""
+    odd = np.bincount((mix64(values) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """Per document: doc_id, n_shingles, set (a digest of its set; null without words), sig."""
+    """Per document: doc_id, n_shingles, set (a digest of its set; null without words), sig, sketch."""
 
     def sign(batches):
         for batch in batches:
-            n, digest, sig = [], [], []
+            n, digest, sig, sketch = [], [], [], []
             for text in as_bytes(batch["text"]):
                 values = shingles(text, width)
                 n.append(len(values))
                 digest.append(xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None)
                 sig.append(minwise(values) if len(values) else None)
+                sketch.append(parity_sketch(values) if len(values) else None)
+            lists = [pa.array(sig, pa.list_(pa.int32())), pa.array(sketch, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.list_(pa.int32()))],
-                ["doc_id", "n_shingles", "set", "sig"],
+                [batch["doc_id"], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *lists],
+                ["doc_id", "n_shingles", "set", "sig", "sketch"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles long, set binary, sig array<int>"
+    schema = f"doc_id {kind}, n_shingles long, set binary, sig array<int>, sketch array<long>"
     return docs.select("doc_id", "text").mapInArrow(sign, schema)
 
 
@@ -97,8 +109,19 @@ def _matches(a: str, b: str) -> Column:
     return F.aggregate(equal, F.lit(0), lambda s, x: s + x)
 
 
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether sets of columns (n, sig, sketch) with these suffixes can be similar, by their sizes, by
+    their sketches (both without false negatives) and by the tokens that they share."""
+    fewest = " + ".join(f"bit_count(sketch_{a}[{i}] ^ sketch_{b}[{i}])" for i in range(SKETCH // 64))
+    return (
+        F.expr(f"least(n_{a}, n_{b}) * 100 >= greatest(n_{a}, n_{b}) * {percent}")
+        & F.expr(f"({fewest}) * {100 + percent} <= (n_{a} + n_{b}) * {100 - percent}")
+        & (_matches(f"sig_{a}", f"sig_{b}") >= least_matches(percent))
+    )
+
+
 class _Join:
-    """The state of one join: classes (id, n, sig), their sets on demand, confirmed links."""
+    """The state of one join: classes (id, n, sig, sketch), their sets on demand, confirmed links."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, percent: int, width: int):
         self.docs, self.classes, self.percent, self.width = docs, classes, percent, width
@@ -208,12 +231,21 @@ class _Join:
 
         The two sides meet in blocks, so that no task holds a whole large node.
         """
+        # a plain table on both sides, so adaptive execution splits an id of many nodes
+        rows = rows.join(self.classes.select("id", "n", "sig", "sketch"), "id")
         parts = F.ceil(F.col("size") / PAIRS).cast("int")
         block = F.pmod(F.xxhash64("id"), parts).cast("int")
         every = F.explode(F.sequence(F.lit(0), parts - 1))
-        ask = rows.filter("not covered").select("node", every.alias("block"), F.col("id").alias("x"))
-        others = rows.select("node", block.alias("block"), F.col("id").alias("y"), "covered")
-        met = ask.join(others, ["node", "block"]).filter("x != y and (covered or x < y)")
+
+        def side(name: str) -> list[Column]:
+            return [F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "sig", "sketch"))]
+
+        ask = rows.filter("not covered").select("node", every.alias("block"), *side("x"))
+        others = rows.select("node", block.alias("block"), "covered", *side("y")).withColumnsRenamed(
+            {"node": "node_y", "block": "block_y"}
+        )
+        same = F.expr("node = node_y and block = block_y and x != y and (covered or x < y)")
+        met = ask.join(others, same & _may_link("x", "y", self.percent))
         return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
@@ -257,8 +289,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     signed = stored(spark, signatures(docs, width), "signatures")
     known = signed.filter("set is not null and doc_id is not null")
     classes = known.groupBy("set").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies")
-    )
+        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"),
+        F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"),
+    )
     classes = stored(spark, classes, "classes")
     found = components(_Join(docs, classes, percent, width).run())
     grouped = classes.select("set", "id", "copies").join(found, "id", "left")
