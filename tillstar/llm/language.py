@@ -21,6 +21,8 @@ from tillstar.llm.common import stored
 #: The classifier is fitted on at most so many texts of each language, of which so many in all
 #: are landmarks.
 PER_LANGUAGE, LANDMARKS = 1000, 160
+#: Parts of the range of hashes in which they are counted.
+BINS = 1 << 12
 #: N-grams fall into this many hashed features.
 FEATURES, ORDERS = 1 << 13, (1, 2, 3)
 RIDGE, SHARPNESS = 1e-4, 6.0
@@ -94,6 +96,27 @@ class Model:
         return language, score
 
 
+def nearly_least(hashes: DataFrame) -> DataFrame:
+    """Of each language (lang) its PER_LANGUAGE smallest distinct hashes (h) and few others.
+
+    Counts by the hashes' leading bits tell up to where they are needed, so what ranks a language
+    gets little more than it keeps, however many texts there are.
+    """
+    leading = F.shiftright("h", 64 - BINS.bit_length() + 1)
+    counts = hashes.groupBy("lang", leading.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    last = needed.filter(F.col("before") < PER_LANGUAGE).groupBy("lang").agg(F.max("bin").alias("last"))
+    return hashes.join(F.broadcast(last), "lang").filter(leading <= F.col("last")).select("lang", "h")
+
+
+def least_hashes(hashes: DataFrame) -> DataFrame:
+    """lang, h and at: the PER_LANGUAGE smallest of each language's hashes, ranked from 1."""
+    order = Window.partitionBy("lang").orderBy("h")
+    ranked = nearly_least(hashes).withColumn("at", F.row_number().over(order))
+    return ranked.filter(F.col("at") <= PER_LANGUAGE)
+
+
 def train(labelled: DataFrame) -> Model:
     """Fit on texts with a language (doc_id, text, lang); rows with nulls or without letters are
     left out. Without any row the model knows no language.
@@ -103,12 +126,9 @@ def train(labelled: DataFrame) -> Model:
     """
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     usable = usable.select("lang", "text", F.xxhash64("text").alias("h"))
-    # hashes alone are ranked; each task sends no more of them than are wanted
-    order = Window.partitionBy("lang").orderBy("h")
-    chosen = usable.select("lang", "h").distinct().withColumn("at", F.row_number().over(order))
-    chosen = F.broadcast(chosen.filter(F.col("at") <= PER_LANGUAGE))
-    sample = usable.join(chosen, ["lang", "h"]).select("lang", "text", "at")
     spark = labelled.sparkSession
+    chosen = F.broadcast(least_hashes(stored(spark, usable.select("lang", "h").distinct(), "hashes")))
+    sample = usable.join(chosen, ["lang", "h"]).select("lang", "text", "at")
     sample = stored(spark, sample.dropDuplicates(["lang", "at"]), "sample")
     languages = sorted({r[0] for r in sample.select("lang").distinct().collect()})
     if not languages:
