@@ -18,8 +18,8 @@ from tillstar.sinks.warehouse import scratch
 # A share of all rows that makes a key hot. Fewer keys than this can be hot, so a table of
 # hot keys has a proven bound.
 HOT_SHARE = 1000
-#: Bits of a filter that spares rows a shuffle.
-FILTER_BITS = 1 << 20
+#: Bits of a filter that spares rows a shuffle, and of each of its parts (Spark's bitmaps).
+FILTER_BITS, BITMAP_BITS = 1 << 20, 1 << 15
 
 
 _shipped: set[str] = set()
@@ -106,15 +106,24 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFram
 
 def may_be_in(ids: DataFrame, key: str, of: Column | None = None) -> Column:
     """Whether `of` (by default doc_id) may be among these: a filter of fixed size, without
-    false negatives."""
-    at = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).cast("int")
-    bits = bytearray(FILTER_BITS // 8)
-    for (bit,) in ids.select(at).distinct().collect():
-        bits[bit >> 3] |= 1 << (bit & 7)
-    at = F.pmod(F.xxhash64(F.col("doc_id") if of is None else of), F.lit(FILTER_BITS)).cast("int")
-    byte = F.substring(F.lit(bytes(bits)), F.shiftright(at, 3) + 1, F.lit(1))
+    false negatives.
+
+    Tasks put the bits together. The filter is a subquery on a stored row, not a literal: plans,
+    which the driver keeps as text, stay short.
+    """
+
+    def place(value) -> tuple[Column, Column]:
+        bit = F.pmod(F.xxhash64(value), F.lit(FILTER_BITS))
+        return F.shiftright(bit, 15).cast("int"), bit.bitwiseAND(F.lit(BITMAP_BITS - 1))
+
+    part, bit = place(key)
+    parts = ids.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    whole = parts.agg(F.map_from_entries(F.collect_list(F.struct("part", "bits"))).alias("bits"))
+    part, bit = place(F.col("doc_id") if of is None else of)
+    bits = F.element_at(stored(ids.sparkSession, whole, "filter").scalar(), part)
+    byte = F.substring(bits, (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")
-    return F.coalesce(value.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0, F.lit(False))
+    return F.coalesce(value.bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) != 0, F.lit(False))
 
 
 def row_sums(partials: DataFrame) -> dict[int, np.ndarray]:

@@ -31,10 +31,11 @@ LANDMARKS, ROUNDS = 512, 3
 #: Decay per character spanned and the longest span of a subsequence.
 DECAY, SPAN = 0.7, 6
 SYMBOLS = 32
-#: Words whose value a worker remembers; characters that are looked at together; rows of a slice.
+#: Words whose value a worker remembers; characters that are looked at together; rows of a slice,
+#: and of one whose words are all listed.
 CACHED = 100_000
 CHUNK, STRETCH = 1 << 19, 1 << 16
-ROWS = 512
+ROWS, AT_ONCE = 512, 64
 
 _START, _END = 31, 30
 # Characters written for letters.
@@ -207,6 +208,21 @@ def _calibrate(best: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
 
 
+def in_context(batches):
+    """Every word of each text with each word before it ('' for none) and the text's label, for few
+    texts at once: all words of a batch would take a worker hundreds of MB, which it keeps."""
+    for batch in (b.slice(at, AT_ONCE) for b in batches for at in range(0, len(b), AT_ONCE)):
+        labels, found, before = [], [], []
+        for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
+            row = text.lower().translate(_UNMARKED).split()
+            new = {*zip(row, ["", *row]), *((w, "") for w in instances(text).difference(row))}
+            found += [w for w, _ in new]
+            before += [b for _, b in new]
+            labels += [label] * len(new)
+        columns = [pa.array(found, pa.string()), pa.array(before, pa.string()), pa.array(labels, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, ["word", "before", "toxic"])
+
+
 def train(labelled: DataFrame) -> Model | None:
     """Fit on labelled texts (doc_id, text, toxic 0 or 1); None without both labels.
 
@@ -223,22 +239,10 @@ def train(labelled: DataFrame) -> Model | None:
     if not (totals.get(0) and totals.get(1)):
         return None
 
-    def of_text(batches):
-        for batch in batches:
-            labels, found, before = [], [], []
-            for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
-                row = text.lower().translate(_UNMARKED).split()
-                new = {*zip(row, ["", *row]), *((w, "") for w in instances(text).difference(row))}
-                found += [w for w, _ in new]
-                before += [b for _, b in new]
-                labels += [label] * len(new)
-            columns = [pa.array(found, pa.string()), pa.array(before, pa.string()), pa.array(labels, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "before", "toxic"])
-
     # copies of a text repeat a word after the same word: so a word's support is counted in
     # different words before it, which copies don't raise
     counts = (
-        sample.mapInArrow(of_text, "word string, before string, toxic int")
+        sample.mapInArrow(in_context, "word string, before string, toxic int")
         .groupBy("word", "before")
         .agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
         .groupBy("word")

@@ -47,11 +47,13 @@ class Warehouse:
         root: str,
         catalog: bool = False,
         layout: dict[str, str] | None = None,
+        marked: bool = True,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.catalog = catalog
         self.layout = layout or {}
+        self.marked = marked
         if catalog:
             ensure_layers(spark, self.root)
 
@@ -64,6 +66,8 @@ class Warehouse:
             # all rows of a folder in few files, but a large folder's rows in many tasks
             df = df.hint("rebalance", by)
         writer = df.write.mode("overwrite").format("parquet")
+        if not self.marked:
+            writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
         return writer.partitionBy(by) if by else writer
 
     def write(self, df: DataFrame, table: str) -> DataFrame:
@@ -160,4 +164,4 @@ def scratch(spark: SparkSession) -> Warehouse:
     files, path = _files(spark, root)
     files.mkdirs(path)
     files.deleteOnExit(path)
-    return Warehouse(spark, root)
+    return Warehouse(spark, root, marked=False)
