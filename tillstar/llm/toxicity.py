@@ -98,6 +98,31 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word, code, weight / np.maximum(norm, 1e-12)[word]
 
 
+def _long_word(word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """subsequences([word]) with equal ones put together, a stretch of characters at a time."""
+    symbol, owner = _symbols_of([word])
+    total, norm = np.zeros(SYMBOLS**3), 0.0
+    for at in range(0, len(symbol), STRETCH):
+        for _, code, weight in _triples(symbol, owner, at, at + STRETCH):
+            total += np.bincount(code, minlength=SYMBOLS**3) * weight
+            norm += len(code) * weight**2
+    code = np.flatnonzero(total)
+    return np.zeros(len(code), np.int64), code, total[code] / max(math.sqrt(norm), 1e-12)
+
+
+def _few_at_once(words: list[str]):
+    """The place of the first, how many, and the subsequences of words that together have about
+    STRETCH characters at most: all words' at once are too much for a driver."""
+    at = 0
+    while at < len(words):
+        end, size = at + 1, len(words[at])
+        while end < len(words) and size + len(words[end]) <= STRETCH:
+            size += len(words[end])
+            end += 1
+        yield at, end - at, (_long_word(words[at]) if size > STRETCH else subsequences(words[at:end]))
+        at = end
+
+
 @dataclass
 class Model:
     """value(word) = weights . subsequences(word) + bias; score(text) = logistic(scale * best + shift)."""
@@ -130,23 +155,23 @@ class Model:
 def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMARKS) -> Model:
     """A squared-hinge support vector machine on Nyström features of landmark words."""
     every = positive + negative
-    size = SYMBOLS**3
-    word, code, weight = subsequences(every)
     order = np.random.default_rng(3).permutation
     half = landmarks // 2
     chosen = np.concatenate(
         [order(len(positive))[:half], len(positive) + order(len(negative))[:half]]
     )
-    place = np.full(len(every), -1)
-    place[chosen] = np.arange(len(chosen))
-    marks = np.zeros((len(chosen), size), np.float32)
-    at = place[word]
-    np.add.at(marks, (at[at >= 0], code[at >= 0]), weight[at >= 0])
+    marks = np.zeros((len(chosen), SYMBOLS**3), np.float32)
+    for at, _, (word, code, weight) in _few_at_once([every[i] for i in chosen]):
+        np.add.at(marks, (at + word, code), weight)
     # kernel of every word with every landmark, a landmark at a time
-    kernel = np.stack([np.bincount(word, m[code] * weight, len(every)) for m in marks], axis=1)
-    values, vectors = np.linalg.eigh(kernel[chosen] + 1e-6 * np.eye(len(chosen)))
+    z = np.ones((len(every), len(chosen) + 1))
+    for at, n, (word, code, weight) in _few_at_once(every):
+        for i, m in enumerate(marks):
+            z[at : at + n, i] = np.bincount(word, m[code] * weight, n)
+    values, vectors = np.linalg.eigh(z[chosen, :-1] + 1e-6 * np.eye(len(chosen)))
     root = vectors / np.sqrt(np.maximum(values, 1e-6))
-    z = np.column_stack([kernel @ root, np.ones(len(every))])
+    for at in range(0, len(z), AT_ONCE):
+        z[at : at + AT_ONCE, :-1] = z[at : at + AT_ONCE, :-1] @ root
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
     cost = np.where(y > 0, len(every) / max(1, 2 * len(positive)), len(every) / max(1, 2 * len(negative)))
     ridge = np.eye(z.shape[1]) * 1e-2 * len(every) / 100
@@ -154,12 +179,19 @@ def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMAR
     w = np.zeros(z.shape[1])
     for _ in range(30):  # Newton steps on the words inside the margin
         inside = y * (z @ w) < 1
-        zi, ci = z[inside], cost[inside]
-        new = np.linalg.solve((zi * ci[:, None]).T @ zi + ridge, (zi * ci[:, None]).T @ y[inside])
+        gram, right = ridge.copy(), np.zeros(len(w))
+        for at in range(0, len(z), ROWS):
+            rows = at + np.flatnonzero(inside[at : at + ROWS])
+            weighted = z[rows] * cost[rows][:, None]
+            gram += weighted.T @ z[rows]
+            right += weighted.T @ y[rows]
+        new = np.linalg.solve(gram, right)
         if np.allclose(new, w, atol=1e-8):
             break
         w = new
-    return Model(marks.T.astype(float) @ (root @ w[:-1]), float(w[-1]))
+    found = root @ w[:-1]
+    parts = [m.T.astype(float) @ found for m in np.array_split(marks, SYMBOLS, axis=1)]
+    return Model(np.concatenate(parts), float(w[-1]))
 
 
 def _best(model: Model, texts: list[str | None], cache: dict[str, float]) -> list[float]:
