@@ -8,6 +8,7 @@ share a pattern. Pieces then find their place by their rank among pieces of thei
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -32,41 +33,31 @@ PER_BUCKET, BUCKETS = 20_000, 64
 
 # The characters that Unicode counts as white space.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_MARKS = r"!-/:-@\[-`{-~"
 #: Chunks that the byte-level pre-tokenizer never merges across: a word with at most one space
-#: before it, a run of white space without the last of it, or that last one.
-_CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
+#: before it, a run of white space without the last of it, or that last one. Latin letters that
+#: begin a word are cut from ASCII marks after them, where that pre-tokenizer always cuts.
+_CHUNK = re.compile(
+    f" ?[A-Za-zÀ-ÖØ-öø-ÿ]++(?![^{_MARKS}{_SPACE}])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]"
+)
 
 _SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_SPACE}]", c))
 
 _encoders: dict[str, "Encoder"] = {}
 
 
-class _Cache(dict):
-    """Two generations: when the newer is full it becomes the older, and what is still used
-    moves up from there. So frequent chunks are never encoded again."""
-
-    def __init__(self):
-        super().__init__()
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.older[chunk]
-        self[chunk] = ids
-        return ids
-
-    def make_room(self) -> None:
-        if len(self) > CACHED:
-            self.older = dict(self)
-            self.clear()
-
-
 class Encoder:
     """Token ids of texts, by chunks that are encoded once and kept."""
 
     def __init__(self, file: str):
+        # a task has one core: handing single texts to a pool of threads costs more than it gives
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(file)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache = _Cache()
+        #: Two generations: when the newer is full it becomes the older, and what is still used
+        #: moves up from there. So frequent chunks are never encoded again.
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         #: per id whether its token begins with a space
         self.spaced = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         mark = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
@@ -90,26 +81,30 @@ class Encoder:
             at = end
 
     def _group(self, texts: list[str | None]) -> Iterator[bytes]:
-        cache = self.cache
-        cache.make_room()
+        if len(self.cache) > CACHED:
+            self.cache, self.older = {}, self.cache
         cut, misses = [], set()
         for text in texts:
             if text and any(s in text for s in self.special):
                 cut.append(None)
                 continue
             chunks = _CHUNK.findall(text or "")
-            cut.append(chunks)
-            misses.update(chunks)
-        misses = {c for c in misses if c not in cache and c not in cache.older}
-        long = [c for c in misses if len(c) > LONGEST_CACHED]
-        cache.update(self._chunks(misses))
-        for text, chunks in zip(texts, cut):
-            if chunks is None:
+            ids = list(map(self.cache.get, chunks))
+            gaps = [i for i, known in enumerate(ids) if known is None]
+            missing = [chunks[i] for i in gaps]
+            misses.update(missing)
+            cut.append((ids, gaps, missing))
+        found = {c: self.older[c] for c in misses if c in self.older}
+        found.update(self._chunks(misses.difference(found)))
+        self.cache.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST_CACHED)
+        for text, parts in zip(texts, cut):
+            if parts is None:
                 yield self._ids(self.tokenizer.encode(text, add_special_tokens=False))
-            else:
-                yield b"".join(map(cache.__getitem__, chunks))
-        for c in long:
-            del cache[c]
+                continue
+            ids, gaps, missing = parts
+            for i, c in zip(gaps, missing):
+                ids[i] = found[c]
+            yield b"".join(ids)
 
     def _chunks(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
         """Each chunk with its ids. Words that begin with a space are encoded in a row: no token
