@@ -94,3 +94,19 @@ def test_pairs_of_a_word_over_many_batches(spark):
         gain = sum(np.log(table[a] + 0.5) + np.log(table[:, b] + 0.5) for a, b in pairs) - len(pairs) * size
         gain[class_lm.END] = -np.inf
         assert got[word] == (len(pairs), int(gain.argmax()))
+
+
+def test_distinct_words_are_hashed_once(monkeypatch):
+    import pyarrow as pa
+
+    hashed = []
+    plain = class_lm._hashed
+    monkeypatch.setattr(class_lm, "_hashed", lambda words: hashed.append(len(words)) or plain(words))
+    texts = ["one Two one two", None, "", "  ", " two\x0bthree\t", "é\x85É one\n\none", "one " * 500]
+    tokens = class_lm._tokens(pa.array(texts))
+    assert hashed == [len({w for t in texts for w in class_lm.words((t or "").encode())} | {b""})]
+    for text, first, end in zip(texts, tokens.edges[:-1], tokens.edges[1:]):
+        want = class_lm.word_ids(None if text is None else text.encode())
+        assert tokens.ids[tokens.at[first:end]].tolist() == want.tolist()
+    cut = list(class_lm._cut(pa.array(["a" * 10] * 5 + [None, "b" * class_lm.CHUNK, "c"])))
+    assert [len(c) for c in cut] == [6, 1, 1]

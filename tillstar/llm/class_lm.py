@@ -32,34 +32,80 @@ ENDINGS, UNITS, CLASSES = 512, 2048, 96
 SINGLE = UNITS - ENDINGS - 1
 #: Rounds of exchange; frequent words whose counts are broadcast.
 ROUNDS, FREQUENT = 4, 1 << 18
-#: Tokens counted together in a task, and a worker's cache of word ids.
-CHUNK, CACHED = 1 << 21, 300_000
+#: Bytes of text whose tokens are coded together in a task, and a worker's cache of endings.
+CHUNK, CACHED = 12 << 20, 300_000
 END = 0  # its word id, unit and class
 #: Columns that scoring adds.
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-class _Ids(dict):
-    """Word ids: 55 bits of a hash of the word, 9 bits of one of its ending."""
+class _Endings(dict):
+    """9 bits of a hash of a word's last bytes."""
 
-    def __missing__(self, word: bytes) -> int:
-        ending = xxhash.xxh3_64_intdigest(word[-4:]) % ENDINGS
-        code = (xxhash.xxh3_64_intdigest(word) & ~(ENDINGS - 1)) | ending
+    def __missing__(self, ending: bytes) -> int:
         if len(self) >= CACHED:
             self.clear()
-        self[word] = code = code or ENDINGS
-        return code
+        self[ending] = found = xxhash.xxh3_64_intdigest(ending) % ENDINGS
+        return found
+
 
+_endings = _Endings()
 
-_ids = _Ids()
+
+def _hashed(words: list[bytes]) -> np.ndarray:
+    """Word ids: 55 bits of a hash of the word, 9 bits of one of its ending."""
+    code = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    ending = np.fromiter((_endings[w[-4:]] for w in words), np.uint64, len(words))
+    code = (code & ~np.uint64(ENDINGS - 1)) | ending
+    code[code == END] = ENDINGS
+    return code
 
 
 def word_ids(text: bytes | None) -> np.ndarray:
     """Ids of a text's words, then that of the end."""
-    found = words(text)
-    out = np.zeros(len(found) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(_ids.__getitem__, found), np.uint64, len(found))
-    return out
+    return np.append(_hashed(words(text)), np.uint64(END))
+
+
+@dataclass
+class Tokens:
+    """The tokens of some texts one after another, each text's words and its end.
+
+    Each distinct word is hashed and looked up once: `ids` holds these, that of the end first, and
+    `at` each token's place in there. `edges` are the places where texts begin, and the last end.
+    """
+
+    ids: np.ndarray
+    at: np.ndarray
+    edges: np.ndarray
+
+
+def _tokens(texts: pa.Array) -> Tokens:
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    found = lists.flatten().dictionary_encode()
+    distinct = as_bytes(found.dictionary)
+    at = found.indices.to_numpy() + 1
+    if b"" in distinct:  # white space around a text
+        at[at == distinct.index(b"") + 1] = END
+    real = at != END
+    before = np.append(0, np.cumsum(real))
+    # where the words of a text end, and an end of the text is put in
+    ends = before[np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)]
+    return Tokens(
+        np.append(np.uint64(END), _hashed(distinct)),
+        np.insert(at[real], ends, END),
+        np.append(0, ends + np.arange(1, len(ends) + 1)),
+    )
+
+
+def _cut(texts: pa.Array):
+    """Slices of texts that hold about CHUNK bytes, or one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        done = ends[at - 1] if at else 0
+        n = max(1, int(np.searchsorted(ends, done + CHUNK, side="right")) - at)
+        yield texts.slice(at, n)
+        at += n
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -67,26 +113,27 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def _chunks(batches):
-    """Word ids of many texts together, end included."""
+    """Tokens of many texts together."""
     parts, size = [], 0
     for batch in batches:
-        for text in as_bytes(batch.column(0)):
-            parts.append(word_ids(text))
-            size += len(parts[-1])
+        for texts in _cut(batch.column(0)):
+            parts.append(texts)
+            size += texts.nbytes
             if size >= CHUNK:
-                yield np.concatenate(parts)
+                yield _tokens(pa.concat_arrays(parts))
                 parts, size = [], 0
     if parts:
-        yield np.concatenate(parts)
+        yield _tokens(pa.concat_arrays(parts))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """word and c: how often each word id, and the end, occurs."""
 
     def count(batches):
-        for ids in _chunks(batches):
-            word, n = np.unique(ids, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_long(word), pa.array(n.astype(np.int64))], ["word", "n"])
+        for tokens in _chunks(batches):
+            n = np.bincount(tokens.at, minlength=len(tokens.ids))
+            some = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([_long(tokens.ids[some]), pa.array(n[some])], ["word", "n"])
 
     return texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
@@ -154,8 +201,8 @@ def unit_bigrams(texts: DataFrame, frequent) -> np.ndarray:
     """How often each unit follows each other one; a matrix of fixed size."""
 
     def count(batches):
-        for ids in _chunks(batches):
-            unit = frequent.value.units_of(ids)
+        for tokens in _chunks(batches):
+            unit = frequent.value.units_of(tokens.ids)[tokens.at]
             pair = np.bincount(np.concatenate([[END], unit[:-1]]) * UNITS + unit, minlength=UNITS**2)
             some = np.flatnonzero(pair)
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(pair[some])], ["pair", "n"])
@@ -223,18 +270,19 @@ def neighbours(texts: DataFrame, frequent, start: np.ndarray) -> DataFrame:
     after each occurrence, two bytes each, in one row for each stretch of text."""
 
     def gather(batches):
-        for ids in _chunks(batches):
-            unit = frequent.value.units_of(ids)
-            group = start[unit].astype(np.uint8)
+        for tokens in _chunks(batches):
+            unit = frequent.value.units_of(tokens.ids)
+            group = start[unit].astype(np.uint8)[tokens.at]
             pairs = np.stack([np.concatenate([group[-1:], group[:-1]]), np.concatenate([group[1:], group[:1]])], 1)
-            own = np.flatnonzero(unit > SINGLE)
-            own = own[np.argsort(ids[own], kind="stable")]
+            own = np.flatnonzero((unit > SINGLE)[tokens.at])
             if not len(own):
                 continue
-            word, first = np.unique(ids[own], return_index=True)
-            edges = pa.py_buffer((2 * np.append(first, len(own))).astype(np.int32))
-            data = pa.Array.from_buffers(pa.binary(), len(word), [None, edges, pa.py_buffer(pairs[own].tobytes())])
-            yield pa.RecordBatch.from_arrays([_long(word), data], ["word", "pairs"])
+            own = own[np.argsort(tokens.at[own], kind="stable")]
+            n = np.bincount(tokens.at[own], minlength=len(tokens.ids))
+            some = np.flatnonzero(n)
+            edges = pa.py_buffer((2 * np.append(0, np.cumsum(n[some]))).astype(np.int32))
+            data = pa.Array.from_buffers(pa.binary(), len(some), [None, edges, pa.py_buffer(pairs[own].tobytes())])
+            yield pa.RecordBatch.from_arrays([_long(tokens.ids[some]), data], ["word", "pairs"])
 
     return texts.select("text").mapInArrow(gather, "word long, pairs binary")
 
@@ -359,36 +407,46 @@ def coded(
     def read(batches):
         frequent, endings, model = shared.value
         for batch in batches:
-            group, rare, at = [], [], []
-            sums = {"known": [], "base": [], "part": []}
-            for text in as_bytes(batch["text"]):
-                ids = word_ids(text)
+            at = 0
+            for texts in _cut(batch["text"]):
+                tokens = _tokens(texts)
+                ids = tokens.ids
                 where, known = frequent.find(ids)
                 classes = endings[_ending(ids)]
                 classes[known] = frequent.classes[where[known]]
-                group.append(classes.astype(np.uint8).tobytes())
-                open_at = np.flatnonzero(~known & (ids != END))
-                if model:
-                    count = np.append(frequent.counts[where[known]], np.full((ids == END).sum(), model.ends))
-                    kinds = np.append(classes[known], classes[ids == END])
-                    sums["known"].append(int((count > 0).sum()))
-                    sums["base"].append(float(np.log10(count + 1.0).sum()))
-                    sums["part"].append(float(model.emission(count, kinds).sum()))
-                rare.append(_long(ids[open_at]))
-                at.append(open_at.astype(np.int32))
-            edges = pa.array(np.cumsum([0, *map(len, at)]).astype(np.int32))
-            lists = [
-                pa.ListArray.from_arrays(edges, pa.concat_arrays(rare) if rare else pa.array([], pa.int64())),
-                pa.ListArray.from_arrays(edges, pa.array(np.concatenate(at) if at else np.zeros(0, np.int32))),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in ["row", *rest]), pa.array(group, pa.binary()), *lists, *more(sums)],
-                names,
-            )
+                spot = np.flatnonzero((~known & (ids != END))[tokens.at])
+                # how many open places each text has, and where its own first token is
+                edges = np.searchsorted(spot, tokens.edges).astype(np.int32)
+                places = spot - np.repeat(tokens.edges[:-1], np.diff(edges))
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(edges), _long(ids[tokens.at[spot]])),
+                    pa.ListArray.from_arrays(pa.array(edges), pa.array(places.astype(np.int32))),
+                ]
+                group = pa.Array.from_buffers(
+                    pa.binary(), len(texts),
+                    [None, pa.py_buffer(tokens.edges.astype(np.int32)), pa.py_buffer(classes.astype(np.uint8)[tokens.at].tobytes())],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch[c].slice(at, len(texts)) for c in ["row", *rest]), group, *lists, *added(model, frequent, tokens, where, known, classes)],
+                    names,
+                )
+                at += len(texts)
+
+    def added(model, frequent, tokens, where, known, classes):
+        """What ends and frequent words add up to, text by text."""
+        if not model:
+            return []
+        count = np.where(known, frequent.counts[where] if len(frequent.counts) else 0, 0)
+        count[END], known[END] = model.ends, True
+        base, part = np.log10(count + 1.0), model.emission(count, classes)
+        sums = []
+        for first, end in zip(tokens.edges[:-1], tokens.edges[1:]):
+            own = tokens.at[first:end]
+            own = own[known[own]]
+            sums.append((int((count[own] > 0).sum()), float(base[own].sum()), float(part[own].sum())))
+        return [pa.array(list(x), k) for x, k in zip(zip(*sums), (pa.int64(), pa.float64(), pa.float64()))]
 
     names = ["row", *rest, "group", "rare", "places", *(("known", "base", "part") if model else ())]
-    kinds = {"known": pa.int64(), "base": pa.float64(), "part": pa.float64()}
-    more = lambda sums: [pa.array(sums[c], k) for c, k in kinds.items() if c in names]
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), *rest, "text")
     sums = ["0L known", "0D base", "0D part"] if model else []
