@@ -29,16 +29,26 @@ ROUNDS = 2
 LEAST = ["w & 140737488355327", "(w & 140737488355327) ^ 97785912395433"]
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line (from 0) and its words; lines of documents with a null id are left alone."""
+def _place(doc: str) -> Column:
+    return F.xxhash64(F.col(doc).cast("long"), "line")
+
+
+def _lines(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """doc_id, line (from 0) and its words; lines of documents with a null id are left alone. With
+    `wanted` (doc, line) few others than these are cut into words."""
     found = docs.filter("doc_id is not null").select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content")
     )
-    parts = F.split(F.lower("content"), "[ \\t\\x0B\\f\\r]+")
+    if wanted is not None:
+        found = found.filter(may_be_in(wanted.select(_place("doc").alias("place")), "place", _place("doc_id")))
+    # a line without words is known by its characters, so that who needs no words cuts none
+    found = found.filter(F.col("content").rlike("[^ \\t\\x0B\\f\\r]"))
+    # nearly all lines have blanks alone between their words; one character needs no pattern
+    lower, odd = F.lower("content"), F.col("content").rlike("[\\t\\x0B\\f\\r]")
+    parts = F.when(odd, F.split(lower, "[ \\t\\x0B\\f\\r]+")).otherwise(F.split(lower, " "))
     # equal lines share their key; equal sets of different lines are found as similar ones
     key = F.struct(F.xxhash64("content").alias("a"), F.hash("content", F.length("content")).alias("b"))
-    words = F.array_remove(parts, "").alias("words")
-    return found.select("doc_id", "line", key.alias("key"), words).filter(F.size("words") > 0)
+    return found.select("doc_id", "line", key.alias("key"), F.array_remove(parts, "").alias("words"))
 
 
 def _rarity(lines: DataFrame) -> str:
@@ -111,8 +121,9 @@ def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, rarity: st
     """Of the pairs (doc, line, to_doc, to_line) those whose full sets are similar; stored."""
     pairs = stored(spark, pairs.distinct(), "pairs")
     wanted = pairs.select("doc", "line").union(pairs.select("to_doc", "to_line")).distinct()
+    wanted = stored(spark, wanted, "wanted")
     near = docs.filter(may_be_in(wanted, "doc"))
-    sets = _sets(_lines(near), rarity).select(F.col("doc_id").alias("doc"), "line", "words").join(wanted, ["doc", "line"])
+    sets = _sets(_lines(near, wanted), rarity).select(F.col("doc_id").alias("doc"), "line", "words").join(wanted, ["doc", "line"])
     sets = stored(spark, sets.dropDuplicates(["doc", "line"]), "sets")
     both = pairs.join(sets.withColumnRenamed("words", "a"), ["doc", "line"]).join(
         sets.toDF("to_doc", "to_line", "b"), ["to_doc", "to_line"]
@@ -137,7 +148,7 @@ def _similar(spark: SparkSession, classes: DataFrame, docs: DataFrame, rarity: s
         pairs = some if pairs is None else pairs.union(some)
     settled = _verified(spark, pairs, docs, rarity, t).select("doc", "line").distinct()
     settled = stored(spark, settled, "settled")
-    maybe = may_be_in(settled.select(F.xxhash64("doc", "line").alias("place")), "place", F.xxhash64("doc", "line"))
+    maybe = may_be_in(settled.select(_place("doc").alias("place")), "place", _place("doc"))
     wide = classes.select(*columns, "prefix")
     some = wide.filter(maybe).join(settled.withColumn("settled", F.lit(True)), ["doc", "line"], "left")
     every = some.union(wide.filter(~maybe).withColumn("settled", F.lit(None).cast("boolean")).select(*some.columns))
@@ -167,10 +178,15 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     )
     first = (F.col("doc").alias("first_doc"), F.col("line").alias("first_line"))
     marked = stored(spark, marked.select("key", "copies", *first, "gone"), "marked")
+    # a line without copies is in its first place; only those with copies are looked up by their text
+    alone = marked.filter("copies = 1").select(F.col("first_doc").alias("doc_id"), F.col("first_line").alias("line"))
+    copied = marked.filter("copies > 1")
     keyed = lines.select("doc_id", "line", "key")
-    held = lookup(keyed, marked, "key", "copies").filter("first_doc is not null")
+    keyed = keyed.filter(may_be_in(copied.select(F.xxhash64("key").alias("text")), "text", F.xxhash64("key")))
+    held = lookup(keyed, copied, "key", "copies").filter("first_doc is not null")
     first = (F.col("doc_id") == F.col("first_doc")) & (F.col("line") == F.col("first_line"))
-    removed = held.filter(F.coalesce("gone", F.lit(False)) | ~first)
+    removed = held.filter(F.coalesce("gone", F.lit(False)) | ~first).select("doc_id", "line")
+    removed = removed.union(alone.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType), "line"))
     return removed.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
