@@ -7,7 +7,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tillstar.llm import toxicity
+from tillstar.llm import common, line_dedup, toxicity
 from tillstar.llm.common import may_be_in, stored
 
 
@@ -44,3 +44,36 @@ def test_words_in_context_come_in_small_batches():
     assert max(len(b) for b in out) <= 3 * toxicity.AT_ONCE
     rows = {(r["word"], r["before"], r["toxic"]) for b in out for r in b.to_pylist()}
     assert len(rows) == 602 and {("a5", "", 1), ("b", "a5", 1), ("c", "b", 0)} <= rows
+
+
+def test_only_wanted_lines_are_cut_again(spark, monkeypatch):
+    lines = [" ".join(f"w{i}x{j}" for j in range(9)) for i in range(300)]
+    near = lines[7].replace("w7x8", "other")
+    coded, sets = [], line_dedup._sets
+    monkeypatch.setattr(line_dedup, "_sets", lambda rows, rarity: coded.append(rows.count()) or sets(rows, rarity))
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, f"{near}\n{lines[5]}")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lines"] for r in line_dedup.repeated_lines(docs).collect()}
+    assert got == {2: [0, 1]}
+    assert coded[0] == 302 and len(coded) > 1 and max(coded[1:]) < 20
+
+
+def test_lines_by_their_white_space(spark):
+    texts = ["a\tb  c\x0b\x0cd\r", "D c b a\n \t\r\n\n a  b c d ", "\xa0\n \n\xa0", " a b c d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["lines"] for r in line_dedup.repeated_lines(docs).collect()}
+    assert got == {1: [0, 3], 2: [2], 3: [0]}
+
+
+def test_workers_give_memory_back(monkeypatch):
+    asked = []
+
+    class Pool:
+        def release_unused(self):
+            asked.append("arrow")
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    batch = pa.RecordBatch.from_pydict({"text": ["a b", "b"], "toxic": [1, 0]})
+    out = common.released(toxicity.in_context)([batch])
+    first = next(out)
+    assert not asked and first.num_rows == 3
+    assert not list(out) and asked == ["arrow"]

@@ -122,7 +122,7 @@ def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, rarity: st
     pairs = stored(spark, pairs.distinct(), "pairs")
     wanted = pairs.select("doc", "line").union(pairs.select("to_doc", "to_line")).distinct()
     wanted = stored(spark, wanted, "wanted")
-    near = docs.filter(may_be_in(wanted, "doc"))
+    near = docs.filter(may_be_in(wanted, "doc", F.col("doc_id").cast("long")))
     sets = _sets(_lines(near, wanted), rarity).select(F.col("doc_id").alias("doc"), "line", "words").join(wanted, ["doc", "line"])
     sets = stored(spark, sets.dropDuplicates(["doc", "line"]), "sets")
     both = pairs.join(sets.withColumnRenamed("words", "a"), ["doc", "line"]).join(

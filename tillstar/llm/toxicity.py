@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import stored
+from tillstar.llm.common import released, stored
 
 #: The classifier is fitted on at most so many labelled texts, on so many words of each kind.
 TEXTS, WORDS = 12_000, 4_000
@@ -274,7 +274,7 @@ def train(labelled: DataFrame) -> Model | None:
     # copies of a text repeat a word after the same word: so a word's support is counted in
     # different words before it, which copies don't raise
     counts = (
-        sample.mapInArrow(in_context, "word string, before string, toxic int")
+        sample.mapInArrow(released(in_context), "word string, before string, toxic int")
         .groupBy("word", "before")
         .agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
         .groupBy("word")
@@ -313,7 +313,7 @@ def train(labelled: DataFrame) -> Model | None:
             best = _best(shared.value, batch["text"].to_pylist(), _cache(key))
             yield pa.RecordBatch.from_arrays([pa.array(best, pa.float64()), batch["toxic"]], ["best", "toxic"])
 
-    pairs = np.array(sample.mapInArrow(measure, "best double, toxic int").collect(), float)
+    pairs = np.array(sample.mapInArrow(released(measure), "best double, toxic int").collect(), float)
     model.scale, model.shift = _calibrate(pairs[:, 0], pairs[:, 1] > 0)
     return model
 
@@ -348,7 +348,7 @@ def _strongest(texts: DataFrame, model: Model) -> DataFrame:
             columns = [pa.array(chosen, pa.string()), pa.array(value, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["word", "value"])
 
-    return texts.select("text").mapInArrow(pick, "word string, value double")
+    return texts.select("text").mapInArrow(released(pick), "word string, value double")
 
 
 def score(docs: DataFrame, model: Model | None, column: str = "toxicity") -> DataFrame:
@@ -377,5 +377,5 @@ def score(docs: DataFrame, model: Model | None, column: str = "toxicity") -> Dat
     while made in docs.columns:  # a given column of that name gives way to the score
         made += "_"
     schema = docs.withColumn(made, F.lit(0.0).cast("double")).schema
-    scored = docs.mapInArrow(add, schema)
+    scored = docs.mapInArrow(released(add), schema)
     return scored if made == column else scored.drop(column).withColumnRenamed(made, column)
