@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 
 path = pytest.importorskip("public_tokenizers").path
@@ -43,3 +44,16 @@ def test_what_leaves_the_cache_is_found_among_the_older(encoder, monkeypatch):
     encoded, plain = [], encoder._chunks
     monkeypatch.setattr(encoder, "_chunks", lambda some: encoded.extend(some) or plain(some))
     assert list(encoder.encode(["one two three four"])) == first and encoded == []
+
+
+def test_few_texts_are_held_at_once(encoder, monkeypatch):
+    texts = [f"text {i} of many" if i % 7 else None for i in range(2000)]
+    held, plain = [], encoder.encode
+    monkeypatch.setattr(encoder, "encode", lambda some: held.append(len(some)) or plain(some))
+    monkeypatch.setattr(packing.Encoder, "of", lambda file: encoder)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": texts})
+    out = [r for b in packing.cut([batch, batch.slice(0, 0)], "", 4, 1) for r in b.to_pylist()]
+    assert sum(held) == 2000 and max(held) <= 256
+    want = [len(ids) // 4 + 1 for ids in plain(texts)]
+    assert [(r["doc_id"], r["start"]) for r in out] == [(i, at) for i, n in enumerate(want) for at in range(0, n, 4)]
+    assert all(r["doc_tokens"] == want[r["doc_id"]] for r in out)

@@ -78,6 +78,13 @@ def batch_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
         yield [column.to_pylist() for column in batch.columns]
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most so many, so that few are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import as_bytes, mix64
+from tillstar.llm.common import as_bytes, few_rows, mix64, released
 
 #: Edits allowed, as a share of an item's words; shorter items than this take no part.
 EDITS, LEAST = 0.2, 1
@@ -32,6 +32,8 @@ WIDTH = 1.2
 #: Items that one pass over the texts looks for; more items take more passes.
 ITEMS = 20_000
 CHUNK = 1 << 21
+#: Texts that a worker holds at once.
+ROWS = 1024
 #: Words that a worker keeps the code of, and the longest kept.
 CACHED, LONGEST_CACHED = 300_000, 64
 #: Codes: no word of the benchmark, the end of a text, nothing but punctuation.
@@ -338,7 +340,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -
         def search(batches, shared=shared):
             bench = shared.value
             codes = Codes(bench.vocabulary)
-            for batch in batches:
+            for batch in few_rows(batches, ROWS):
                 rows, found = [], []
                 for at, texts in _groups(as_bytes(batch["text"])):
                     for i, items in enumerate(find(texts, bench, codes), at):
@@ -352,7 +354,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -
                     ["doc_id", "item_id", "distance", "item_words", "start"],
                 )
 
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(search, schema))
+        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(released(search), schema))
     return out
 
 
@@ -363,12 +365,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFr
 
         def keep(batches, shared=shared):
             codes = Codes(shared.value.vocabulary)
-            for batch in batches:
+            for batch in few_rows(batches, ROWS):
                 at = batch.schema.get_field_index("text")
                 kept = []
                 for _, texts in _groups(as_bytes(batch.column(at))):
                     kept += [not items for items in find(texts, shared.value, codes)]
                 yield batch.filter(pa.array(kept, pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(released(keep), docs.schema)
     return docs

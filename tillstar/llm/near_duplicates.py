@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import as_bytes, lookup, mix64, stored, words
+from tillstar.llm.common import as_bytes, few_rows, lookup, mix64, released, stored, words
 
 #: Independent trees and levels: a pair at similarity 0.8 parts in all trees' first level with a
 #: probability of 0.2 ** 8. One minwise token for each level of each tree.
@@ -27,6 +27,8 @@ TREES, LEVELS = 8, 6
 TOKENS = TREES * LEVELS
 #: Bits of a parity sketch: of sets up to about twice as many shingles it tells the difference.
 SKETCH = 1024
+#: Texts or sets that a worker holds at once.
+ROWS = 1024
 #: Nodes up to this size are compared exhaustively; documents of a block of a larger one.
 SMALL, PAIRS = 48, 1000
 CACHED = 300_000
@@ -79,7 +81,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """Per document: doc_id, n_shingles, set (a digest of its set; null without words), sig, sketch."""
 
     def sign(batches):
-        for batch in batches:
+        for batch in few_rows(batches, ROWS):
             n, digest, sig, sketch = [], [], [], []
             for text in as_bytes(batch["text"]):
                 values = shingles(text, width)
@@ -95,7 +97,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_shingles long, set binary, sig array<int>, sketch array<long>"
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    return docs.select("doc_id", "text").mapInArrow(released(sign), schema)
 
 
 def least_matches(percent: int) -> int:
@@ -147,7 +149,7 @@ class _Join:
         percent = self.percent
 
         def check(batches):
-            for batch in batches:
+            for batch in few_rows(batches, ROWS):
                 kept = []
                 for a, b in zip(batch["set_a"].to_pylist(), batch["set_b"].to_pylist()):
                     a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
@@ -155,7 +157,7 @@ class _Join:
                     kept.append(100 * common >= percent * (len(a) + len(b) - common))
                 yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-        links = both.select("a", "b", "set_a", "set_b").mapInArrow(check, close.schema)
+        links = both.select("a", "b", "set_a", "set_b").mapInArrow(released(check), close.schema)
         self.links.append(stored(self.spark, links, "links"))
         return self.links[-1]
 
@@ -169,14 +171,14 @@ class _Join:
         width = self.width
 
         def gather(batches):
-            for batch in batches:
+            for batch in few_rows(batches, ROWS):
                 sets = [shingles(t, width).tobytes() for t in as_bytes(batch["text"])]
                 yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], ["id", "set"])
 
         kind = self.docs.schema["doc_id"].dataType.simpleString()
         wanted = stored(self.spark, wanted, "wanted")
         texts = self.docs.select("doc_id", "text").join(wanted, "doc_id")
-        return stored(self.spark, texts.mapInArrow(gather, f"id {kind}, set binary"), "sets")
+        return stored(self.spark, texts.mapInArrow(released(gather), f"id {kind}, set binary"), "sets")
 
     def run(self) -> DataFrame:
         """All links (a, b)."""

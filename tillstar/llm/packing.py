@@ -15,6 +15,7 @@ from array import array
 from bisect import insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tillstar.llm.common import stored
+from tillstar.llm.common import few_rows, released, stored
 
 #: Entries of one generation of a worker's cache of encoded chunks; longer chunks are not kept.
-CACHED, LONGEST_CACHED = 300_000, 64
-#: Characters of texts that are encoded together, and chunks encoded in a row.
-GROUP, IN_A_ROW = 1 << 20, 64
+CACHED, LONGEST_CACHED = 200_000, 64
+#: Texts that a worker holds at once, characters of those that are encoded together, and chunks
+#: encoded in a row.
+ROWS, GROUP, IN_A_ROW = 256, 1 << 18, 64
 #: Pieces that share a rank bucket, about, and the fewest buckets.
 PER_BUCKET, BUCKETS = 20_000, 64
 
@@ -129,33 +131,35 @@ class Encoder:
         return np.asarray(encoding.ids, "<u4").tobytes()
 
 
-def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int) -> DataFrame:
-    """Every document's ids, end id included, cut into pieces of at most `length`."""
+def cut(batches, tokenizer: str, length: int, end_id: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of the texts in Arrow batches."""
     end = np.asarray([end_id], "<u4").tobytes()
+    encoder = Encoder.of(tokenizer)
+    for batch in few_rows(batches, ROWS):
+        rows, start, sizes, crc, total = [], array("q"), array("q"), array("q"), array("q")
+        for i, ids in enumerate(encoder.encode(batch["text"].to_pylist())):
+            ids += end
+            n = len(ids) // 4
+            for at in range(0, n, length):
+                part = ids[4 * at : 4 * (at + length)]
+                rows.append(i)
+                start.append(at)
+                sizes.append(len(part) // 4)
+                crc.append(zlib.crc32(part))
+                total.append(n)
+        numbers = [pa.array(np.frombuffer(x, np.int64)) for x in (start, sizes, crc, total)]
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"].take(pa.array(rows, pa.int64())), *numbers],
+            ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+        )
 
-    def cut(batches):
-        encoder = Encoder.of(tokenizer)
-        for batch in batches:
-            rows, start, sizes, crc, total = [], array("q"), array("q"), array("q"), array("q")
-            for i, ids in enumerate(encoder.encode(batch["text"].to_pylist())):
-                ids += end
-                n = len(ids) // 4
-                for at in range(0, n, length):
-                    part = ids[4 * at : 4 * (at + length)]
-                    rows.append(i)
-                    start.append(at)
-                    sizes.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    total.append(n)
-            numbers = [pa.array(np.frombuffer(x, np.int64)) for x in (start, sizes, crc, total)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(pa.array(rows, pa.int64())), *numbers],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
-            )
 
+def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int) -> DataFrame:
+    """Every document's ids, end id included, cut into pieces of at most `length`."""
+    run = released(partial(cut, tokenizer=tokenizer, length=length, end_id=end_id))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 @dataclass
