@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 import pyarrow as pa
@@ -57,6 +58,35 @@ def test_only_wanted_lines_are_cut_again(spark, monkeypatch):
     assert coded[0] == 302 and len(coded) > 1 and max(coded[1:]) < 20
 
 
+def test_words_of_a_line_are_plain_numbers_cut_from_whole_texts(spark):
+    docs = spark.createDataFrame([(1, "the  cat\tthe dog\n\n the"), (None, "lost")], "doc_id long, text string")
+    rarity = line_dedup._rarity(docs)
+    classes = spark.sql(f"select {rarity} r").first()["r"]
+    assert sorted(c for c in classes if c) == [3] and len(classes) == 1 << 16  # "the" comes three times
+    sets = line_dedup._sets(line_dedup._lines(docs), rarity)
+    kinds = {f.name: f.dataType for f in sets.schema}
+    assert not kinds["words"].containsNull and not kinds["hashes"].containsNull
+    got = {r["line"]: r for r in sets.collect()}
+    assert {k: len(r["words"]) for k, r in got.items()} == {0: 3, 2: 1}
+    assert got[0]["words"] == sorted(got[0]["words"]) and got[0]["words"][-1] == got[2]["words"][0]
+
+
+def test_lines_around_the_size_of_a_narrow_sketch_equal_brute_force(spark):
+    pick = random.Random(9)
+    base = [f"w{i}" for i in range(90)]
+    sets = []
+    for _ in range(120):
+        size, start = pick.randrange(50, 86), pick.randrange(4)
+        some = base[start : start + size] + [f"x{pick.randrange(10**6)}" for _ in range(pick.randrange(9))]
+        pick.shuffle(some)
+        sets.append(some)
+    docs = spark.createDataFrame([(i, " ".join(s)) for i, s in enumerate(sets)], "doc_id long, text string")
+    got = {r["doc_id"] for r in line_dedup.repeated_lines(docs).collect()}
+    sets = [set(s) for s in sets]
+    want = {i for i, a in enumerate(sets) if any(10 * len(a & b) >= 8 * len(a | b) for b in sets[:i])}
+    assert got == want and 0 < len(want) < 119
+
+
 def test_lines_by_their_white_space(spark):
     texts = ["a\tb  c\x0b\x0cd\r", "D c b a\n \t\r\n\n a  b c d ", "\xa0\n \n\xa0", " a b c d"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")

@@ -7,8 +7,9 @@ and only those prefixes are joined. Length, position and a parity sketch of the
 that can't reach the overlap; the rest is verified on the full sets. A line goes if an earlier
 one (by doc_id, then line number) is equal or similar.
 
-Words are 59-bit codes, most rare first: a rarity class from a fixed-size table of counts over
-all lines, then longer words, then a hash.
+Words are hashes of 59 bits with five more for their length. Where order matters they are codes,
+most rare first: a rarity class from a fixed-size table of counts over all lines, then longer
+words, then the hash.
 """
 
 from __future__ import annotations
@@ -22,11 +23,12 @@ from tillstar.llm.common import lookup, may_be_in, stored
 
 SIMILARITY = 0.8
 #: Counts by hashed word: a table of fixed size, whatever the corpus.
-BUCKETS = 1 << 16
-#: Rounds in which each class meets the first one with the same least hash of its words.
-ROUNDS = 2
-#: An order of the words for each round, by the hash bits of their codes.
-LEAST = ["w & 140737488355327", "(w & 140737488355327) ^ 97785912395433"]
+BUCKET_BITS = 16
+#: Words of a set whose sketch is one number; the sketch of a larger one takes two.
+NARROW = 64
+#: Rounds in which each class meets the first one with the same end of its hashes: least, largest.
+ENDS = [F.array_min, F.array_max]
+ROUNDS = len(ENDS)
 
 
 def _place(doc: str) -> Column:
@@ -34,8 +36,8 @@ def _place(doc: str) -> Column:
 
 
 def _lines(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """doc_id, line (from 0) and its words; lines of documents with a null id are left alone. With
-    `wanted` (doc, line) few others than these are cut into words."""
+    """doc_id, line (from 0) and its words, empty ones among them; lines of documents with a null id
+    are left alone. With `wanted` (doc, line) few others than these are cut into words."""
     found = docs.filter("doc_id is not null").select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content")
     )
@@ -48,29 +50,36 @@ def _lines(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     parts = F.when(odd, F.split(lower, "[ \\t\\x0B\\f\\r]+")).otherwise(F.split(lower, " "))
     # equal lines share their key; equal sets of different lines are found as similar ones
     key = F.struct(F.xxhash64("content").alias("a"), F.hash("content", F.length("content")).alias("b"))
-    return found.select("doc_id", "line", key.alias("key"), F.array_remove(parts, "").alias("words"))
+    return found.select("doc_id", "line", key.alias("key"), parts.alias("words"))
 
 
-def _rarity(lines: DataFrame) -> str:
+def _rarity(docs: DataFrame) -> str:
     """SQL of an array that gives a rarity class, twice the log of a count, for each bucket."""
-    word = lines.select(F.explode("words").alias("word"))
-    bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")
-    counts = word.groupBy(bucket.alias("bucket")).count().collect()
-    classes = ["0"] * BUCKETS
+    # lines don't matter to counts: a text is cut into words at once
+    word = docs.filter("doc_id is not null").select(
+        F.explode(F.split(F.lower("text"), "[ \\n\\t\\x0B\\f\\r]+")).alias("word")
+    )
+    bucket = F.shiftrightunsigned(F.xxhash64("word"), 64 - BUCKET_BITS).cast("int")
+    counts = word.filter("word != ''").groupBy(bucket.alias("bucket")).count().collect()
+    classes = ["0"] * (1 << BUCKET_BITS)
     for at, n in counts:
         classes[at] = str(int(2 * math.log2(n)))
-    return f"cast(split('{','.join(classes)}', ',') as array<tinyint>)"
+    return f"cast(split('{','.join(classes)}', ',') as array<bigint>)"
 
 
 def _sets(lines: DataFrame, rarity: str) -> DataFrame:
-    """lines with `words` as sorted distinct codes, most rare first."""
+    """lines with `hashes` of their distinct words and `words`, the same as sorted codes, most
+    rare first."""
+    # the five bits say how far the length is from 31; only the empty word has 31 there
+    hashes = "array_distinct(transform(words, w -> (xxhash64(w) & -32L) | (31 - least(octet_length(w), 31))))"
+    hashes = f"array_remove({hashes}, (xxhash64('') & -32L) | 31L)"
+    # no code is null, so that plain numbers are sorted
     code = (
-        "sort_array(array_distinct(transform(words, w -> "
-        f"shiftleft(cast(element_at({rarity}, cast(pmod(xxhash64(w), {BUCKETS}) as int) + 1) as bigint), 52)"
-        " | shiftleft(cast(31 - least(length(w), 31) as bigint), 47)"
-        " | shiftrightunsigned(xxhash64(w), 17))))"
+        "sort_array(transform(hashes, h -> "
+        f"shiftleft(coalesce(get({rarity}, cast(shiftrightunsigned(h, {64 - BUCKET_BITS}) as int)), 0L), 56)"
+        " | shiftleft(h & 31L, 51) | shiftrightunsigned(h, 13)))"
     )
-    return lines.withColumn("words", F.expr(code))
+    return lines.withColumn("hashes", F.expr(hashes)).withColumn("words", F.expr(code))
 
 
 def _least_overlap(n: str, m: str, t: int) -> str:
@@ -80,40 +89,45 @@ def _least_overlap(n: str, m: str, t: int) -> str:
 
 def _classes(sets: DataFrame, t: int) -> DataFrame:
     """Equal lines as one row: key, n, prefix, sketch (s0, s1), first place, copies, and the
-    least hashes of their words."""
+    ends of their hashes."""
     parity = "aggregate(words, 0L, (s, w) -> s ^ if((w & 64) = {}, shiftleft(1L, cast(w & 63 as int)), 0L))"
+    whole = "aggregate(words, 0L, (s, w) -> s ^ shiftleft(1L, cast(w & 63 as int)))"
     keyed = sets.select(
         "doc_id",
         "line",
         "key",
         F.size("words").alias("n"),
         F.expr(f"slice(words, 1, size(words) - cast(ceil({t} * size(words) / 100) as int) + 1)").alias("prefix"),
-        F.expr(parity.format(0)).alias("s0"),
-        F.expr(parity.format(64)).alias("s1"),
-        *(F.expr(f"array_min(transform(words, w -> {LEAST[r]}))").alias(f"least{r}") for r in range(ROUNDS)),
+        F.expr(f"if(size(words) > {NARROW}, {parity.format(0)}, {whole})").alias("s0"),
+        F.expr(f"if(size(words) > {NARROW}, {parity.format(64)}, 0L)").alias("s1"),
+        *(end("hashes").alias(f"end{r}") for r, end in enumerate(ENDS)),
     )
-    whole = ["key", "n", "s0", "s1", "prefix", *(f"least{r}" for r in range(ROUNDS))]
+    kept = ["key", "n", "s0", "s1", "prefix", *(f"end{r}" for r in range(ROUNDS))]
     place = F.col("doc_id").cast("decimal(38,0)") * (1 << 32) + F.col("line")
-    found = keyed.groupBy(*whole).agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"))
+    found = keyed.groupBy(*kept).agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"))
     doc = F.floor(F.col("place") / (1 << 32)).cast("long")
     return found.select(
-        *whole, "copies", doc.alias("doc"), (F.col("place") - doc.cast("decimal(38,0)") * (1 << 32)).cast("int").alias("line")
+        *kept, "copies", doc.alias("doc"), (F.col("place") - doc.cast("decimal(38,0)") * (1 << 32)).cast("int").alias("line")
     )
 
 
 def _possible(t: int, position: bool) -> Column:
     """Whether sets x and y can reach the overlap, y being the earlier."""
     xn, yn = ("x.n", "y.n") if not position else ("shiftright(x.p, 32)", "shiftright(y.p, 32)")
-    need = _least_overlap(xn, yn, t)
+    # two numbers that are folded into one are the sketch that a narrow set has
+    differ = (
+        f"if(least({xn}, {yn}) > {NARROW}, bit_count(x.s0 ^ y.s0) + bit_count(x.s1 ^ y.s1),"
+        " bit_count(x.s0 ^ x.s1 ^ y.s0 ^ y.s1))"
+    )
     tests = [
         "(y.doc < x.doc or (y.doc = x.doc and y.line < x.line))",
         f"least({xn}, {yn}) * 100 >= greatest({xn}, {yn}) * {t}",
-        f"{xn} + {yn} - bit_count(x.s0 ^ y.s0) - bit_count(x.s1 ^ y.s1) >= 2 * {need}",
+        f"{xn} + {yn} - {differ} >= 2 * {_least_overlap(xn, yn, t)}",
     ]
     if position:
-        # at most the words before the match, the match, and the words after it are shared
+        # the first word that both share is in both prefixes: none before it is shared
         xi, yi = "(x.p & 2147483647)", "(y.p & 2147483647)"
-        tests.append(f"least({xi}, {yi}) + least({xn} - {xi}, {yn} - {yi}) >= {need}")
+        tests.insert(2, f"least({xn} - {xi}, {yn} - {yi}) * {100 + t} >= {t} * ({xn} + {yn})")
     return F.expr(" and ".join(tests))
 
 
@@ -123,7 +137,8 @@ def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, rarity: st
     wanted = pairs.select("doc", "line").union(pairs.select("to_doc", "to_line")).distinct()
     wanted = stored(spark, wanted, "wanted")
     near = docs.filter(may_be_in(wanted, "doc", F.col("doc_id").cast("long")))
-    sets = _sets(_lines(near, wanted), rarity).select(F.col("doc_id").alias("doc"), "line", "words").join(wanted, ["doc", "line"])
+    sets = _sets(_lines(near, wanted), rarity).select(F.col("doc_id").alias("doc"), "line", F.col("hashes").alias("words"))
+    sets = sets.join(wanted, ["doc", "line"])
     sets = stored(spark, sets.dropDuplicates(["doc", "line"]), "sets")
     both = pairs.join(sets.withColumnRenamed("words", "a"), ["doc", "line"]).join(
         sets.toDF("to_doc", "to_line", "b"), ["to_doc", "to_line"]
@@ -139,9 +154,9 @@ def _similar(spark: SparkSession, classes: DataFrame, docs: DataFrame, rarity: s
     pairs = None
     for r in range(ROUNDS):
         # most members of a large group are settled by its first one, without pairs among them
-        group = classes.groupBy(f"least{r}").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(*columns)).alias("y"))
+        group = classes.groupBy(f"end{r}").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(*columns)).alias("y"))
         group = stored(spark, group.filter("size > 1"), "groups")
-        held = lookup(classes.select(f"least{r}", F.struct(*columns).alias("x")), group, f"least{r}", "size")
+        held = lookup(classes.select(f"end{r}", F.struct(*columns).alias("x")), group, f"end{r}", "size")
         some = held.filter("y is not null").filter(_possible(t, False)).select(
             "x.doc", "x.line", F.col("y.doc").alias("to_doc"), F.col("y.line").alias("to_line")
         )
@@ -169,7 +184,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     """doc_id and lines: the numbers (from 0) of the lines that an earlier line repeats."""
     spark, t = docs.sparkSession, round(100 * similarity)
     lines = _lines(docs.select("doc_id", "text"))
-    rarity = _rarity(lines)
+    rarity = _rarity(docs)
     sets = _sets(lines, rarity)
     classes = stored(spark, _classes(sets, t), "classes")
     gone = _similar(spark, classes, docs.select("doc_id", "text"), rarity, t)
@@ -183,7 +198,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     copied = marked.filter("copies > 1")
     keyed = lines.select("doc_id", "line", "key")
     keyed = keyed.filter(may_be_in(copied.select(F.xxhash64("key").alias("text")), "text", F.xxhash64("key")))
-    held = lookup(keyed, copied, "key", "copies").filter("first_doc is not null")
+    held = lookup(stored(spark, keyed, "keyed"), copied, "key", "copies").filter("first_doc is not null")
     first = (F.col("doc_id") == F.col("first_doc")) & (F.col("line") == F.col("first_line"))
     removed = held.filter(F.coalesce("gone", F.lit(False)) | ~first).select("doc_id", "line")
     removed = removed.union(alone.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType), "line"))
